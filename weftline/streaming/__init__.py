@@ -1,0 +1,7 @@
+"""Reserved.
+
+The toolkit this package follows is batch only: it has no event time, no
+watermark and no state store, so there is no streaming operator to offer.
+Interval merging with an allowed gap (``operators.intervals.merge_intervals``)
+is the closest relative, a session window over coordinates.
+"""
