@@ -30,5 +30,5 @@ TARGET_HITS = TARGETS + ",\n" + hits("thits", "targets", "target")
 
 IVL = """ivl AS (SELECT l_suppkey AS contig, date_diff('day', DATE '1992-01-01', l_shipdate::DATE) AS start,
   date_diff('day', DATE '1992-01-01', l_shipdate::DATE) + l_quantity::BIGINT AS stop,
-  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_orderkey * 8 + l_linenumber AS id,
+  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, (l_orderkey * 8 + l_linenumber) * 100000000 + l_partkey * 1000 + l_suppkey AS id,
   round(l_extendedprice * 100)::BIGINT AS score, l_orderkey, l_partkey, l_linenumber, l_returnflag FROM lineitem)"""

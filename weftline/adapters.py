@@ -43,7 +43,8 @@ def intervals(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_suppkey").alias("contig"), day_number("l_shipdate").alias("start"),
         (day_number("l_shipdate") + F.col("l_quantity").cast("bigint")).alias("end"),
         F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000000
+         + F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("id"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("score"),
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
 

@@ -66,7 +66,7 @@ def similarity_components(counts: DataFrame, names: DataFrame, common: int = 500
     classes that still share a searched k-mer are checked.  Every skipped pair
     lies inside one class already, so the components are exact.
     """
-    postings = cut(P.colour_postings(counts).postings)
+    postings = P.colour_postings(counts).postings
     searched = cut(P._prefix(postings, F.col("weight") * F.col("cnt"), F.lit(common)))
     labels = cut(names.select("name", F.col("name").alias("label")).distinct())
     checked = None

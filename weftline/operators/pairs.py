@@ -18,28 +18,42 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weftline.session import cut
+
 SINGLE_WEIGHT = 20  # fixed value: divisor for k-mers carried by one sequence
 BLOCK = 1024
 
 
 def fold_copies(seqs: DataFrame, name: str = "name", seq: str = "seq",
                 by: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """One representative per distinct text, and the ``rep, name`` member table."""
+    """One row per distinct text (``copies`` tells how many) and the member table.
+
+    ``by`` columns keep copies apart that differ in them.  The member table is
+    ``rep, name`` plus ``by``.
+    """
     marked = seqs.withColumn("_digest", F.sha2(F.upper(seq), 256))
     keys = [*by, "_digest"]
-    reps = marked.groupBy(*keys).agg(F.min(name).alias("rep"))
-    members = marked.select(name, *keys).join(reps, keys).select("rep", name, *by)
-    chosen = marked.join(reps.select(F.col("rep").alias(name)), name, "left_semi").drop("_digest")
+    reps = marked.groupBy(*keys).agg(F.min(name).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    members = marked.select(name, *keys).join(reps.drop("copies"), keys).select("rep", name, *by)
+    chosen = marked.drop("_digest").join(reps.select(F.col("rep").alias(name), "copies"), name)
     return chosen, members
 
 
+def folded_counts(hits: DataFrame) -> DataFrame:
+    """``name, kmer, cnt, copies`` from hits carrying ``name`` and ``copies``."""
+    # ``copies`` depends on ``name``; as a key it survives column pruning, so that
+    # every reader of these counts can share one exchange.
+    return hits.groupBy("name", "copies", "kmer").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 @dataclass
 class Colours:
-    """``postings(colour, name, cnt, weight, n)`` for shared k-mers, and the
-    self product ``own(name, own)`` of k-mers found in one sequence only."""
+    """``postings(colour, name, cnt, weight, n)`` for k-mers of two or more rows,
+    and ``alone(name, lone, inner)``: summed squared counts of k-mers of a single
+    sequence and of k-mers shared among copies of one sequence only."""
 
     postings: DataFrame
-    single: DataFrame
+    alone: DataFrame
 
 
 def colour_postings(counts: DataFrame) -> Colours:
@@ -48,27 +62,37 @@ def colour_postings(counts: DataFrame) -> Colours:
     The set is identified by its size and two independent 64-bit hashes
     combined by xor, which partial aggregates can merge in any order.
     """
+    if "copies" not in counts.columns:
+        counts = counts.withColumn("copies", F.lit(1))
     pair = (F.col("name"), F.col("cnt"))
     per_kmer = counts.groupBy("kmer").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), F.sum("copies").alias("df"),
         F.bit_xor(F.xxhash64(*pair)).alias("h1"),
         F.bit_xor(F.xxhash64(F.lit("second"), *pair)).alias("h2"),
-        F.min("name").alias("name"), F.max("cnt").alias("cnt"))
-    single = per_kmer.where("n = 1").groupBy("name").agg(
-        F.sum(F.col("cnt").cast("bigint") * F.col("cnt")).alias("own"))
+        F.min("name").alias("name"), F.max("cnt").cast("bigint").alias("cnt"))
+    square = F.col("cnt") * F.col("cnt")
+    alone = per_kmer.where("n = 1").groupBy("name").agg(
+        F.sum(F.when(F.col("df") == 1, square).otherwise(0)).alias("lone"),
+        F.sum(F.when(F.col("df") > 1, square).otherwise(0)).alias("inner"))
     colours = per_kmer.where("n > 1").groupBy("n", "h1", "h2").agg(
         F.min("kmer").alias("kmer"), F.count(F.lit(1)).alias("weight"))
     postings = counts.join(colours.select("kmer", "weight", "n"), "kmer").select(
         F.col("kmer").alias("colour"), "name", F.col("cnt").cast("bigint").alias("cnt"), "weight", "n")
-    return Colours(postings, single)
+    # The postings are far fewer than the hits and are read several times.
+    return Colours(cut(postings), alone)
 
 
 def diagonal(colours: Colours, single_weight: int = SINGLE_WEIGHT) -> DataFrame:
-    """``name, own``: the weighted dot product of each sequence with itself."""
-    shared = colours.postings.groupBy("name").agg(
-        F.sum(F.col("weight") * F.col("cnt") * F.col("cnt")).cast("double").alias("own"))
-    alone = colours.single.select("name", (F.col("own") / single_weight).alias("own"))
-    return shared.unionByName(alone).groupBy("name").agg(F.sum("own").alias("own"))
+    """``name, own``: the weighted dot product of each sequence with itself.
+
+    K-mers of one sequence only count 1/``single_weight``.
+    """
+    zero = F.lit(0).cast("bigint")
+    shared = colours.postings.select(
+        "name", (F.col("weight") * F.col("cnt") * F.col("cnt")).alias("whole"), zero.alias("lone"))
+    alone = colours.alone.select("name", F.col("inner").alias("whole"), "lone")
+    return shared.unionByName(alone).groupBy("name").agg(
+        (F.sum("whole") + F.sum("lone") / single_weight).alias("own"))
 
 
 def _prefix(postings: DataFrame, mass: Column, budget: DataFrame | Column) -> DataFrame:
