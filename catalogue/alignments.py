@@ -173,7 +173,7 @@ b AS (SELECT *, CASE WHEN ms - max(me) OVER (PARTITION BY contig ORDER BY ms, me
  THEN 0 ELSE 1 END AS brk FROM (SELECT DISTINCT contig, ms, me FROM e)),
 r AS (SELECT *, sum(brk) OVER (PARTITION BY contig ORDER BY ms, me) AS run FROM b),
 m AS (SELECT contig, run, min(ms) AS lo, max(me) AS hi FROM r GROUP BY contig, run),
-k AS (SELECT i.id, i.contig, i.stop - i.start - coalesce(sum(least(i.stop, m.hi) - greatest(i.start, m.lo)), 0) AS unmasked, i.score, i.stop - i.start AS len
+k AS (SELECT i.id, i.contig, i.stop - i.start - coalesce(sum(CASE WHEN m.lo IS NOT NULL THEN least(i.stop, m.hi) - greatest(i.start, m.lo) END), 0) AS unmasked, i.score, i.stop - i.start AS len
  FROM ivl i LEFT JOIN m ON m.contig = i.contig AND i.start < m.hi AND m.lo < i.stop GROUP BY i.id, i.contig, i.start, i.stop, i.score)
 SELECT id, unmasked::BIGINT AS unmasked, (score % 100 > 90 AND ((unmasked > 30 AND score % 997 > 150) OR (score % 997 > 100 AND unmasked > len / 3))) AS keep FROM k""")
 def alignment_filter(spark, sf):

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.operators.scan import ordinal, prefix_scan
+from weftline.session import cut
 
 CHUNK = 1 << 16
 LEVELS = 32
@@ -228,6 +229,7 @@ def best_score_envelope(df: DataFrame, keys: Sequence[str], id_col: str, score:
     edges = solid.select(*keys, F.explode(F.array(start, end)).alias("_at")).distinct()
     segments = prefix_scan(edges, keys, "_at", _chunk("_at", width), F.col("_at"), "min",
                            "_next", inclusive=False, descending=True).where("_next IS NOT NULL")
+    segments = cut(segments)
     best = stab_best(segments, solid, keys, "_at", "_rank", start, end, levels)
     owned = segments.join(best, [*keys, "_at"]).select(*keys, "_at", "_next", F.col("best.c").alias("_id"))
     prior = prefix_scan(owned, keys, "_at", _chunk("_at", width),

@@ -21,15 +21,15 @@ for _i, _pair in enumerate(("Aa", "Cc", "Gg", "Tt")):
         _CODE[ord(_ch)] = _i
 
 
-def pack_kmers(text: np.ndarray, k: int, canonical: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Code of the k-mer starting at every byte of ``text`` and its validity.
+def pack_kmers(text: np.ndarray, k: int, canonical: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code, validity and forward flag of the k-mer starting at every byte of ``text``.
 
     Widths are doubled (1, 2, 4, ...) and joined to reach ``k``, so the work is
     a few array passes per base whatever ``k`` is.
     """
     size = len(text) - k + 1
     if size <= 0:
-        return np.empty(0, np.int64), np.empty(0, bool)
+        return np.empty(0, np.int64), np.empty(0, bool), np.empty(0, bool)
     base = _CODE[text]
     bad = np.concatenate(([0], np.cumsum(base == 4)))
     valid = bad[k:] == bad[:size]
@@ -53,7 +53,7 @@ def pack_kmers(text: np.ndarray, k: int, canonical: bool) -> tuple[np.ndarray, n
         fwd, rev = ((fwd[:n] << (2 * width)) | fwd[width:width + n],
                     (rev[width:width + n] << (2 * width)) | rev[:n])
         width *= 2
-    return (np.maximum(out_f, out_r) if canonical else out_f), valid
+    return (np.maximum(out_f, out_r) if canonical else out_f), valid, out_f >= out_r
 
 
 def tiles(df: DataFrame, ids: Sequence[str], seq: str, overlap: int,
@@ -70,18 +70,20 @@ def tiles(df: DataFrame, ids: Sequence[str], seq: str, overlap: int,
 
 
 def kmer_hits(df: DataFrame, ids: Sequence[str] = ("name",), seq: str = "seq", k: int = 31,
-              canonical: bool = True, step: int = TILE) -> DataFrame:
+              canonical: bool = True, step: int = TILE, strand: bool = False) -> DataFrame:
     """One row per valid window: ids, ``pos`` (0-based) and the packed ``kmer``.
 
-    Windows holding anything but ACGT (either case) are skipped.
+    Windows holding anything but ACGT (either case) are skipped.  With
+    ``strand``, ``fwd`` tells whether the text itself is the canonical side.
     """
     if not 1 <= k <= 31:
         raise ValueError("k must lie between 1 and 31")
     ids = list(ids)
     cut_up = tiles(df, ids, seq, k - 1, step)
     fields = [cut_up.schema[c] for c in ids]
+    extra = [T.StructField("fwd", T.BooleanType())] if strand else []
     schema = T.StructType([*fields, T.StructField("pos", T.LongType()),
-                           T.StructField("kmer", T.LongType())])
+                           T.StructField("kmer", T.LongType()), *extra])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = max(1, _KERNEL_BASES // (step + k))
@@ -91,7 +93,7 @@ def kmer_hits(df: DataFrame, ids: Sequence[str] = ("name",), seq: str = "seq", k
                 texts = part.column("tile").to_pylist()
                 lens = np.array([len(t) for t in texts], dtype=np.int64)
                 joined = np.frombuffer("".join(texts).encode("ascii", "replace"), np.uint8)
-                codes, valid = pack_kmers(joined, k, canonical)
+                codes, valid, forward = pack_kmers(joined, k, canonical)
                 starts = np.cumsum(lens) - lens
                 row = np.repeat(np.arange(len(lens)), lens)[: len(codes)]
                 inside = np.arange(len(codes)) - starts[row]
@@ -101,7 +103,9 @@ def kmer_hits(df: DataFrame, ids: Sequence[str] = ("name",), seq: str = "seq", k
                 take = pa.array(row)
                 columns = [part.column(c).take(take) for c in ids]
                 columns += [pa.array(inside[keep] + offset[row]), pa.array(codes[keep])]
-                yield pa.RecordBatch.from_arrays(columns, names=[*ids, "pos", "kmer"])
+                if strand:
+                    columns.append(pa.array(forward[keep]))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return cut_up.mapInArrow(scan, schema)
 
@@ -225,7 +229,7 @@ def window_gc(df: DataFrame, ids: Sequence[str], seq: str = "seq", window: int =
             offsets = batch.column("offset").to_pylist()
             for i, text in enumerate(batch.column("tile").to_pylist()):
                 raw = np.frombuffer(text.encode("ascii", "replace"), np.uint8)
-                codes, valid = pack_kmers(raw, k, True)
+                codes, valid, _ = pack_kmers(raw, k, True)
                 if not len(codes):
                     continue
                 base = _CODE[raw]
@@ -297,7 +301,7 @@ def trim_by_kmers(seqs: DataFrame, hits: DataFrame, kmers: DataFrame, k: int = 3
         "_state", F.when(~enough, "filter").when(dense, "pass").otherwise("trim")))
     todo = base.where("_state = 'trim'").select("name", (F.col("len") - k + 1).alias("_w"),
                                                 F.col("count").alias("_all"))
-    ranked = cut(prefix_scan(found.join(todo, "name"), ["name"], "pos", F.floor(F.col("pos") / TILE),
+    ranked = (prefix_scan(found.join(todo, "name"), ["name"], "pos", F.floor(F.col("pos") / TILE),
                              F.lit(1).cast("bigint"), "sum", "rank", inclusive=False))
     ends = todo.select("name", F.col("_w").alias("at"), F.col("_all").alias("rank"), F.lit(True).alias("last"))
     ahead = ranked.select("name", F.col("pos").alias("at"), "rank", F.lit(False).alias("last"))
@@ -338,3 +342,44 @@ def surviving_kmers(kmers: DataFrame, hits: DataFrame, decisions: DataFrame, k:
         .select("kmer")
     )
     return kmers.select("kmer").distinct().join(gone, "kmer", "left_anti")
+
+
+def mark_runs(seqs: DataFrame, runs: DataFrame, hard: bool = False) -> DataFrame:
+    """Sequences in lower case (or ``n`` when ``hard``) except for the given runs.
+
+    ``runs`` is ``name, start, end``, disjoint; each sequence gathers only its own.
+    """
+    own = runs.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_r"))
+
+    def outside(text: Column) -> Column:
+        return F.repeat(F.lit("n"), F.length(text)) if hard else F.lower(text)
+
+    def cut_out(start: Column, end: Column) -> Column:
+        return F.substring(F.col("seq"), start.cast("int") + 1, (end - start).cast("int"))
+
+    zero = F.lit(0).cast("bigint")
+    pieces = F.transform("_r", lambda r, i: F.concat(
+        outside(cut_out(F.coalesce(F.get(F.col("_r"), i - 1)["end"], zero), r["start"])),
+        F.upper(cut_out(r["start"], r["end"]))))
+    tail = outside(cut_out(F.coalesce(F.element_at("_r", -1)["end"], zero), F.length("seq").cast("bigint")))
+    return seqs.join(own, "name", "left").withColumn(
+        "seq", F.concat(F.coalesce(F.array_join(pieces, ""), F.lit("")), tail)).drop("_r")
+
+
+def mask_by_kmers(seqs: DataFrame, hits: DataFrame, kmers: DataFrame, k: int = 31,
+                  gap: int = 31, hard: bool = False) -> DataFrame:
+    """Keep stretches of listed k-mers (hits at most ``gap`` apart) upper case."""
+    from weftline.operators.intervals import merge_intervals
+
+    found = found_kmers(hits, kmers).select("name", F.col("pos").alias("start"), (F.col("pos") + 1).alias("_e"))
+    runs = merge_intervals(found, ["name"], gap - 1, "start", "_e").select(
+        "name", "start", (F.col("_e") + k - 1).alias("end"))
+    return mark_runs(seqs, merge_intervals(runs, ["name"], 0), hard)
+
+
+def mark_last_bases(seqs: DataFrame, hits: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
+    """Lower-case sequences with the last base of every listed k-mer upper case."""
+    from weftline.operators.intervals import merge_intervals
+
+    ends = found_kmers(hits, kmers).select("name", (F.col("pos") + k - 1).alias("start"), (F.col("pos") + k).alias("end"))
+    return mark_runs(seqs, merge_intervals(ends, ["name"], 0))

@@ -37,11 +37,13 @@ def prefix_scan(
     """Running ``sum``/``max``/``min`` of ``value`` per key along ``order``.
 
     ``order`` must be unique per key and ``chunk`` non-decreasing along it.
-    With ``descending`` the scan runs from the far end.
+    With ``descending`` the scan runs from the far end.  The window and the
+    totals both read the input, so it is written once: scans on top of scans
+    then cost one computation each.
     """
     keys = list(keys)
     fold = _AGGREGATES[how]
-    work = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    work = cut(df.withColumn("_chunk", chunk).withColumn("_value", value))
     direction = F.desc if descending else F.asc
     bound = Window.currentRow if inclusive else -1
     local = (Window.partitionBy(*keys, "_chunk").orderBy(direction(order))

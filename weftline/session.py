@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,25 +40,33 @@ def parallelism(spark: SparkSession) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own, because
-    a machine-local folder does not survive the loss of an executor.
+    Only a local session without that setting gets a folder of its own, removed
+    at exit, because a machine-local folder does not survive a lost executor.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-checkpoint-"))
-    else:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="weftline-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return _own[0]
+
+
+_own: list[str] = []
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from the written table.
+
+    Lineage ends here, a lost executor costs a re-read, several readers cost one
+    computation, and the size of the result is known to the planner.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
