@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import query
-from catalogue.fragments import DOC_HITS, SEQS
-from catalogue.kmers import _LIST, _informative, doc_hits
-from catalogue.pairs import _folded, _marked
+from catalogue.fragments import DOC_HITS, TARGET_HITS
+from catalogue.kmers import _LIST, _hotspot_sql, _informative, doc_hits
+from catalogue.pairs import _marked
 from weftline import adapters as A
-from weftline.operators import aligner as AN, genes as G, graph as R, kmers as K, matching as M, pairs as P, trees as T
-from weftline.operators.scan import ordinal
+from weftline.operators import aligner as AN, genes as G, graph as R, kmers as K, trees as T
+from weftline.plans import annotate as AP, compile as CP, search as SE, select as SL
 from weftline.session import cut
 
 
+_hotspot_cte = "WITH " + _hotspot_sql("th", 50, 1000)
+
+
 @query(f"""WITH {DOC_HITS}, {_LIST}, f AS (SELECT name, pos FROM hits WHERE kmer IN (SELECT kmer FROM list)),
 c AS (SELECT name, pos, lag(pos) OVER (PARTITION BY name ORDER BY pos) AS pp FROM f),
 r AS (SELECT *, sum(CASE WHEN pos - pp <= 31 THEN 0 ELSE 1 END) OVER (PARTITION BY name ORDER BY pos) AS g FROM c),
@@ -37,48 +40,45 @@ def mark_last_bases(spark, sf):
     return out.select("name", marked.alias("marked")).where("marked > 0")
 
 
-def _grouped(spark, sf):
-    """Members ``grp, name, idx`` by source, and their norm matrix ``grp, i, j, v``."""
+def _compiled(spark, sf):
     seqs = A.sequences(spark, sf).withColumn("grp", F.regexp_replace("hap", "[^0-9]", "").cast("bigint"))
-    members = ordinal(seqs.select("grp", "name"), ["name"], "idx", ["grp"], start=0)
-    hits = K.kmer_hits(seqs, ("grp", "name"))
-    counts = hits.groupBy("grp", "name", "kmer").agg(F.count(F.lit(1)).alias("cnt")).select(
-        "name", F.struct("grp", "kmer").alias("kmer"), "cnt")
-    colours = P.colour_postings(counts)
-    own = P.diagonal(colours)
-    dots = P.weighted_dot(None, colours)
-    place = members.select("grp", "name", "idx")
-    off = (dots.join(place.select(F.col("name").alias("i"), "grp", F.col("idx").alias("_i")), "i")
-           .join(place.select(F.col("name").alias("j"), F.col("idx").alias("_j")), "j")
-           .select("grp", F.col("_i").alias("i"), F.col("_j").alias("j"), F.col("total").alias("v")))
-    diag = own.join(place, "name").select("grp", F.col("idx").alias("i"), F.col("idx").alias("j"), F.col("own").alias("v"))
-    return members, off, diag
-
-
-def _distances(off, diag):
-    own = diag.select("grp", "i", F.col("v").alias("_o"))
-    return (off.join(own, ["grp", "i"]).join(own.select("grp", F.col("i").alias("j"), F.col("_o").alias("_p")), ["grp", "j"])
-            .select("grp", "i", "j", P.distance(F.col("v"), F.col("_o"), F.col("_p")).alias("d")))
+    return CP.group_matrices(seqs)
+
+
+_GROUP = f"""{DOC_HITS}, c AS (SELECT grp_id, name, kmer, count(*) AS c FROM (SELECT regexp_replace(hap, '[^0-9]', '', 'g')::BIGINT AS grp_id, name, kmer FROM hits) GROUP BY ALL),
+f AS (SELECT grp_id, kmer, count(*) AS n FROM c GROUP BY ALL),
+ix AS (SELECT regexp_replace(hap, '[^0-9]', '', 'g')::BIGINT AS grp_id, name, row_number() OVER (PARTITION BY hap ORDER BY name) - 1 AS idx FROM seqs),
+own AS (SELECT grp_id, name, sum(c * c / CASE WHEN n = 1 THEN 20.0 ELSE 1.0 END) AS v FROM c JOIN f USING (grp_id, kmer) GROUP BY ALL),
+dot AS (SELECT a.grp_id, a.name AS i, b.name AS j, sum(a.c * b.c)::DOUBLE AS v FROM c a JOIN c b ON a.grp_id = b.grp_id AND a.kmer = b.kmer AND a.name < b.name GROUP BY ALL)"""
+
+
+@query(f"""WITH {_GROUP} SELECT d.grp_id AS grp, x.idx AS i, y.idx AS j, round(v, 6) AS v FROM dot d JOIN ix x ON x.name = i JOIN ix y ON y.name = j
+UNION ALL SELECT own.grp_id, idx, idx, round(v, 6) FROM own JOIN ix USING (name)""")
+def norm_matrix(spark, sf):
+    return _compiled(spark, sf).norm.withColumn("v", F.round("v", 6))
 
 
 @query()
 def linkage_tree(spark, sf):
-    members, off, diag = _grouped(spark, sf)
-    return T.linkage(_distances(off, diag), members)
+    return _compiled(spark, sf).merges()
 
 
 @query()
 def tree_newick(spark, sf):
-    members, off, diag = _grouped(spark, sf)
-    merges = T.linkage(_distances(off, diag), members)
-    return T.trees(merges, members).select("grp", "newick", F.array_join("leaves", ",").alias("leaves"))
+    made = _compiled(spark, sf)
+    return T.trees(made.merges(), made.members).select("grp", "newick", F.array_join("leaves", ",").alias("leaves"))
+
+
+@query()
+def matrix_in_tree_order(spark, sf):
+    made = _compiled(spark, sf)
+    return CP.reordered(made.norm, made.merges(), made.members)
 
 
 @query()
 def allele_types(spark, sf):
-    members, off, diag = _grouped(spark, sf)
-    merges = T.linkage(_distances(off, diag), members)
-    return T.allele_types(merges, members, off.unionByName(diag), mcutoff=20.0, mcutoff2=40.0)
+    made = _compiled(spark, sf)
+    return T.allele_types(made.merges(), made.members, made.norm, mcutoff=20.0, mcutoff2=40.0)
 
 
 def _exon_tables(spark, sf):
@@ -109,34 +109,28 @@ def gene_counts(spark, sf):
     return G.gene_counts(hits, exons)
 
 
-def _nearest_pairs(spark, sf):
-    """Each allele with its nearest reference document, as texts."""
-    chosen, members, counts = _folded(spark, sf)
-    near = M.nearest_reference(P.pair_distances(counts, 0.2), chosen.select("name", "is_ref"), members)
-    seqs = A.sequences(spark, sf).select("name", F.upper("seq").alias("seq"))
-    return cut(near.join(seqs.withColumnRenamed("seq", "query"), "name")
-               .join(seqs.select(F.col("name").alias("ref"), F.col("seq").alias("_r")), "ref")
-               .select(F.col("name").alias("id"), F.col("ref").alias("ref_name"), "query", F.col("_r").alias("ref")))
+def _nearest(spark, sf):
+    return AP.match_references(_marked(spark, sf))[1]
 
 
 @query()
 def global_align(spark, sf):
-    return AN.global_align(_nearest_pairs(spark, sf))
+    return AP.call_variants(A.sequences(spark, sf), _nearest(spark, sf))[0]
 
 
 @query()
 def sv_call(spark, sf):
-    pairs = _nearest_pairs(spark, sf)
-    found = AN.variants(AN.global_align(pairs), pairs, longer_than=20)
-    return AN.classify_variants(found, pairs, k=15)
+    return AP.call_variants(A.sequences(spark, sf), _nearest(spark, sf), longer_than=20, k=15)[1]
 
 
 @query()
 def msa_from_paths(spark, sf):
-    pairs = _nearest_pairs(spark, sf)
-    paths = AN.global_align(pairs).join(pairs.select("id", "ref_name"), "id").select(
-        F.col("ref_name").alias("grp"), F.col("id").alias("name"), "cigar")
-    refs = pairs.groupBy(F.col("ref_name").alias("grp")).agg(F.first("ref").alias("seq"))
+    near = cut(_nearest(spark, sf))
+    seqs = A.sequences(spark, sf).select("name", F.upper("seq").alias("seq"))
+    aligned = AP.call_variants(seqs, near)[0]
+    paths = aligned.join(near.select(F.col("name").alias("id"), F.col("ref").alias("grp")), "id").select(
+        "grp", F.col("id").alias("name"), "cigar")
+    refs = seqs.withColumnRenamed("name", "grp").join(near.select(F.col("ref").alias("grp")).distinct(), "grp", "left_semi")
     return AN.msa(paths, refs)
 
 
@@ -185,3 +179,58 @@ def graph_paths(spark, sf):
 @query()
 def linear_path(spark, sf):
     return R.linear_order(R.chunk_successors(_paths(spark, sf)[1], gap=50))
+
+
+@query()
+def alignment_segments(spark, sf):
+    from catalogue.alignments import _cigars
+    from weftline.operators import segments as SG
+
+    return SG.segment_alignments(_cigars(spark, sf), k=5, cutoff=10)
+
+
+def _edge_sums(spark, sf):
+    """Counts of parts per supplier as sparse rows, for additive matching."""
+    counts = A.intervals(spark, sf).groupBy("contig", "l_partkey").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    return counts.select(F.col("contig").alias("row"), F.col("l_partkey").alias("axis"), "c")
+
+
+@query()
+def additive_matches(spark, sf):
+    from weftline.operators import segments as SG
+
+    rows = _edge_sums(spark, sf)
+    other = rows.select(F.col("row").alias("other"), "axis", F.col("c").alias("d"))
+    dots = rows.join(other, "axis").groupBy("row", "other").agg(F.sum(F.col("c") * F.col("d")).alias("dot"))
+    place = A.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("row"), F.col("s_nationkey").alias("contig"))
+    placed = cut(dots.join(place, "row"))
+    own = placed.where("row = other").select("row", F.col("dot").alias("own"))
+    inside = placed.join(place.select(F.col("row").alias("other"), F.col("contig").alias("_c")), "other").where("contig = _c AND row <> other")
+    products = inside.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("other", "dot"))).alias("products"))
+    asked = placed.where("row <> other").select(F.col("other").alias("query"), "contig", "row", F.col("dot").alias("cross"))
+    full = (asked.join(own, "row").join(products, "row", "left")
+            .join(own.select(F.col("row").alias("query"), F.col("own").alias("self")), "query")
+            .select("query", "contig", F.col("row").alias("place"), F.col("row").alias("name"), "own", "cross",
+                    F.coalesce("products", F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<double>"))).alias("products"), "self"))
+    return SG.additive_matches(full)
+
+
+@query(f"""WITH {DOC_HITS}, {TARGET_HITS}, th AS (SELECT t.target, h.name AS contig, h.pos FROM hits h
+JOIN (SELECT DISTINCT target, kmer FROM thits) t USING (kmer)), hs AS ({_hotspot_cte}),
+u AS (SELECT *, sum(brk) OVER (PARTITION BY target, contig ORDER BY start, "end") AS g FROM (SELECT *, CASE WHEN start - max("end") OVER
+ (PARTITION BY target, contig ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 2000 THEN 0 ELSE 1 END AS brk FROM hs)),
+r AS (SELECT target, contig, greatest(min(start) - 100, 0) AS s, max("end") + 100 AS e FROM u GROUP BY target, contig, g)
+SELECT target, contig, s::BIGINT AS start, least(e, length(seq))::BIGINT AS "end", contig || ':' || s || '-' || least(e, length(seq)) || '+' AS header,
+md5(substr(seq, s::INT + 1, (least(e, length(seq)) - s)::INT)) AS digest FROM r JOIN seqs ON name = contig""")
+def allele_search(spark, sf):
+    found = SE.search(A.sequences(spark, sf), A.targets(spark, sf), gap=2000, pad=100)
+    return found.select("target", "contig", "start", "end", "header", F.md5("seq").alias("digest"))
+
+
+@query()
+def select_and_partition(spark, sf):
+    seqs = A.sequences(spark, sf)
+    kmers = cut(K.gc_and_complexity_filter(_informative(spark, sf)))
+    decisions, groups, own = SL.trim_and_partition(seqs, kmers, common=60, ladder=((4, 200),), anchor=50, cutoff=60, rcutoff=0.1)
+    sizes = own.groupBy("component").agg(F.count(F.lit(1)).alias("n_kmers"))
+    return groups.join(decisions.select("name", "decision"), "name").join(sizes, "component", "left").fillna({"n_kmers": 0})
