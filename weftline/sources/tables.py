@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftline.functions.sequence import decode_kmer, encode_kmer
+from weftline.sources.records import numbered_lines
 
 _KMER = r"^[ACGTacgt]+$"
 
@@ -66,10 +67,7 @@ def write_counts(counts: DataFrame, path: str, k: int = 31, nonzero: bool = True
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """``i, j, v`` from a square comma-separated matrix, one row per line."""
-    from weftline.operators.scan import ordinal
-
-    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("_at", F.monotonically_increasing_id())
-    numbered = ordinal(lines, ["_at"], "_row", start=0)
+    numbered = numbered_lines(spark, path).withColumnRenamed("line_no", "_row").withColumnRenamed("line", "value")
     return numbered.select(F.col("_row").alias("i"), F.posexplode(F.split("value", ",")).alias("j", "v")).select(
         "i", F.col("j").cast("long").alias("j"), F.col("v").cast("double").alias("v"))
 
@@ -78,7 +76,7 @@ def matrix_rows(entries: DataFrame, size: int) -> DataFrame:
     """``i, line``: dense rows with four decimals from sparse entries of one group."""
     held = entries.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("_m"))
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long")),
-                        lambda j: F.format_number(F.coalesce(F.element_at(F.col("_m"), j), F.lit(0.0)), "0.0000"))
+                        lambda j: F.format_string("%.4f", F.coalesce(F.element_at(F.col("_m"), j), F.lit(0.0))))
     return held.select("i", F.array_join(cells, ",").alias("line"))
 
 
