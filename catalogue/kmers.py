@@ -165,7 +165,8 @@ def kmer_compare(spark, sf):
 @query(f"""WITH {DOC_HITS}, e AS (SELECT kmer, min(grp) AS grp FROM hits GROUP BY kmer HAVING min(grp) = max(grp))
 SELECT grp, count(*) AS n, min(kmer) AS first, max(kmer) AS last FROM e GROUP BY grp""")
 def kmer_exclusive_to_group(spark, sf):
-    per = K.exclusive_to_group(doc_hits(spark, sf, "grp")).groupBy("grp").agg(
+    groups = A.table(spark, sf, "documents").select(F.col("lang").alias("grp"))
+    per = K.exclusive_to_group(doc_hits(spark, sf, "grp"), "grp", groups).groupBy("grp").agg(
         F.count(F.lit(1)).alias("n"), F.min("kmer").alias("lo"), F.max("kmer").alias("hi"))
     return per.select("grp", "n", S.decode_kmer(F.col("lo")).alias("first"), S.decode_kmer(F.col("hi")).alias("last"))
 
@@ -205,8 +206,9 @@ dec AS (SELECT name, len, n, state, a, z, n - coalesce(lost, 0) AS rest, CASE WH
 
 
 def _informative(spark, sf):
+    code = F.xxhash64("grp")
     return doc_hits(spark, sf, "grp").groupBy("kmer").agg(
-        F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.count(F.lit(1)).alias("n")
+        F.min(code).alias("lo"), F.max(code).alias("hi"), F.count(F.lit(1)).alias("n")
     ).where("lo = hi AND n > 1").select("kmer")
 
 

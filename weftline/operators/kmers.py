@@ -174,11 +174,23 @@ def compare_counts(first: DataFrame, second: DataFrame, limit: int = 255,
                                                F.coalesce("c2", F.lit(0)).alias("c2"))
 
 
-def exclusive_to_group(hits: DataFrame, group: str = "grp") -> DataFrame:
-    """K-mers found in exactly one group."""
-    return hits.groupBy("kmer").agg(
-        F.min(group).alias(group), F.max(group).alias("_last"),
-    ).where(F.col(group).eqNullSafe(F.col("_last"))).drop("_last")
+def exclusive_to_group(hits: DataFrame, group: str = "grp", groups: DataFrame | None = None) -> DataFrame:
+    """K-mers found in exactly one group.
+
+    Smallest and largest text cannot be kept in a hash aggregate.  When the
+    distinct ``groups`` are given, their hashes are compared instead and the
+    names joined back; the hashes are checked to be distinct first.
+    """
+    if groups is None:
+        return hits.groupBy("kmer").agg(
+            F.min(group).alias(group), F.max(group).alias("_last"),
+        ).where(F.col(group).eqNullSafe(F.col("_last"))).drop("_last")
+    names = cut(groups.select(group).distinct().withColumn("_h", F.xxhash64(group)))
+    if names.select("_h").distinct().count() != names.count():
+        return exclusive_to_group(hits, group)
+    code = F.xxhash64(group)
+    one = hits.groupBy("kmer").agg(F.min(code).alias("_h"), F.max(code).alias("_l")).where("_h = _l")
+    return one.select("kmer", "_h").join(names, "_h").drop("_h")
 
 
 def _repeats(codes: np.ndarray, k: int, size: int, limit: int) -> np.ndarray:

@@ -41,8 +41,6 @@ def fold_copies(seqs: DataFrame, name: str = "name", seq: str = "seq",
 
 def folded_counts(hits: DataFrame) -> DataFrame:
     """``name, kmer, cnt, copies`` from hits carrying ``name`` and ``copies``."""
-    # ``copies`` depends on ``name``; as a key it survives column pruning, so that
-    # every reader of these counts can share one exchange.
     return hits.groupBy("name", "copies", "kmer").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -64,6 +62,8 @@ def colour_postings(counts: DataFrame) -> Colours:
     """
     if "copies" not in counts.columns:
         counts = counts.withColumn("copies", F.lit(1))
+    # The per-sequence counts are a k-mer scan; everything below reads them again.
+    counts = cut(counts)
     pair = (F.col("name"), F.col("cnt"))
     per_kmer = counts.groupBy("kmer").agg(
         F.count(F.lit(1)).alias("n"), F.sum("copies").alias("df"),
@@ -194,7 +194,7 @@ def pair_distances(counts: DataFrame, at_most: float | None = None,
     product over it cannot reach the limit alone.
     """
     colours = colours or colour_postings(counts)
-    own = diagonal(colours)
+    own = cut(diagonal(colours))
     if at_most is None or at_most >= 1:
         totals = weighted_dot(counts, colours)
     else:

@@ -122,7 +122,7 @@ def region_fasta(sequences: DataFrame, regions: DataFrame, name: Column) -> Data
                           slice_bases(F.col("_seq"), F.col("start"), F.col("end"), F.col("strand")).alias("seq"))
 
 
-_LINE = r"(?m)^(\S+)[ ]+(?:\d+[ ]+)?([A-Za-z-]+)(?:[ ]+\d+)?[ ]*$"
+_LINE = r"^(\S+)[ ]+(?:\d+[ ]+)?([A-Za-z-]+)(?:[ ]+\d+)?[ ]*$"
 
 
 def read_pair_alignments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -131,11 +131,11 @@ def read_pair_alignments(spark: SparkSession, paths: str | list[str]) -> DataFra
     Comment lines start with ``#``; the remaining sequence lines alternate
     between the two sides.  A report is one alignment, read as one value.
     """
-    raw = spark.read.option("wholetext", "true").text(paths).select(
+    raw = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), "value")
     score = F.regexp_extract("value", r"(?m)^#\s*Score:\s*(-?[\d.]+)", 1).cast("double")
-    body = F.regexp_replace("value", r"(?m)^#[^\n]*$", "")
-    rows = F.regexp_extract_all(body, F.lit(_LINE), F.lit(2))
+    kept = F.filter(F.split("value", "\n"), lambda t: ~t.startswith("#") & t.rlike(_LINE))
+    rows = F.transform(kept, lambda t: F.regexp_extract(t, _LINE, 2))
 
     def side(which: int) -> Column:
         return F.array_join(F.filter(rows, lambda t, i: i % 2 == which), "")

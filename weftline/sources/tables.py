@@ -94,7 +94,7 @@ def read_newick(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``path, parent, child, length, leaf``: edges of each Newick file's tree."""
     from weftline.operators.trees import parse_newick
 
-    raw = spark.read.option("wholetext", "true").text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     schema = "path string, parent long, child long, length double, leaf string"
 
     def run(batches):
