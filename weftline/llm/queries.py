@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import lines, mixing, sharding
+from weftline.llm import lines, mixing, near_dup, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,3 +104,32 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Size, source target and words taken of every document (``TARGETS_SQL`` checks all but ``taken``)."""
     planned = mixing.plan_copies(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT i, j FROM common JOIN sizes x ON x.doc_id = i JOIN sizes y ON y.doc_id = j WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT i, j FROM links UNION ALL SELECT j, i FROM links),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT ways.j, reach.root FROM reach JOIN ways ON ways.i = reach.doc_id),
+roots AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id,
+       d.doc_id = coalesce(root, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN roots USING (doc_id)""")
+def op8_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle count, component and verdict of every document."""
+    found = near_dup.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
