@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import lines, mixing, near_dup, sharding
+from weftline.llm import decontaminate, lines, mixing, near_dup, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,3 +133,9 @@ def op8_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
                         (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query()
+def op9_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage, the edits and where it ends."""
+    return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
