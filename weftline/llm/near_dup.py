@@ -31,9 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weftline.llm.crowds import classes, comparable, lists, stars
 from weftline.llm.shingles import MinHash, WordHashes, shingle_set
 from weftline.llm.text import mix64, utf8_rows
-from weftline.operators.components import connected_components
 from weftline.session import cut
 
 BANDS, ROWS, BITS = 20, 4, 4
@@ -41,7 +41,6 @@ LANES = BANDS * ROWS
 WORDS64 = LANES * BITS // 64
 # Signatures are ruled out at an estimate six deviations below the threshold.
 SLACK = 0.25
-CELL_ITEMS = 50_000
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 _LOW_BITS = 0x1111111111111111
 
@@ -60,12 +59,6 @@ def _bands(minima: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-
-
 def sketches(docs: DataFrame, id_col: str, text: str, width: int = 5) -> DataFrame:
     """``id, n, k1, k2, bands, s0..``: set size, set digest, band keys and packed signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +76,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, width: int = 5) -> DataFra
             packed = np.array(sigs, np.uint64).reshape(-1, WORDS64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(k1, np.uint64).view(np.int64)),
-                 pa.array(np.array(k2, np.uint64).view(np.int64)), _lists(bands),
+                 pa.array(np.array(k2, np.uint64).view(np.int64)), lists(bands),
                  *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(WORDS64)]],
                 ["id", "n", "k1", "k2", "bands", *[f"s{i}" for i in range(WORDS64)]])
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(
@@ -97,7 +90,7 @@ def full_sets(docs: DataFrame, id_col: str, text: str, width: int = 5) -> DataFr
         words = WordHashes()
         for batch in batches:
             sets = [shingle_set(words.of(raw), width) for raw in utf8_rows(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), _lists(sets)], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), lists(sets)], ["id", "items"])
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(
         run, "id bigint, items array<bigint>")
 
@@ -114,90 +107,6 @@ def estimate(left: str, right: str) -> Column:
     return ((F.lit(1.0) - differ / F.lit(float(LANES))) - chance) / (1.0 - chance)
 
 
-def _close(common: Column, a: Column, b: Column, percent: int) -> Column:
-    return common * 100 >= (a + b - common) * percent
-
-
-def _stars(sketched: DataFrame) -> DataFrame:
-    """``hub, id``: every member of a crowded bucket with the bucket's hub."""
-    rows = sketched.select("id", F.explode("bands").alias("key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowd = cut(rows.join(sizes, "key"))
-    met = crowd.groupBy("id").agg(F.sum("size").alias("met"))
-    hubs = crowd.join(met, "id").groupBy("key").agg(
-        F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("best")).select("key", (-F.col("best.id")).alias("hub"))
-    return crowd.join(hubs, "key").select("hub", "id").distinct()
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (hub, id) whose full sets are close enough."""
-    member = pairs.join(sets, "id")
-    hub = sets.select(F.col("id").alias("hub"), F.col("items").alias("hub_items"))
-    common = F.size(F.array_intersect("items", "hub_items"))
-    return member.join(hub, "hub").where(
-        _close(common, F.size("items"), F.size("hub_items"), percent)).select("hub", "id")
-
-
-def _cell_links(ids: np.ndarray, labels: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray],
-                first: int, second: int, percent: int) -> list[tuple[int, int]]:
-    """Links between different classes in one cell, at most one for each two classes joined."""
-    size = np.array([len(s) for s in sets], np.int64)
-    rows = np.repeat(np.arange(len(sets)), size)
-    _, item = np.unique(np.concatenate(sets), return_inverse=True)
-    by_item = np.argsort(item, kind="stable")
-    starts = np.concatenate(([0], np.cumsum(np.bincount(item))))
-    holders = rows[by_item]
-    offset = np.concatenate(([0], np.cumsum(size)))
-    parent = {x: x for x in labels.tolist()}
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    out = []
-    for i in range(len(sets)):
-        if first != second and blocks[i] != first:
-            continue
-        own = item[offset[i]:offset[i + 1]]
-        spans = [holders[starts[t]:starts[t + 1]] for t in own]
-        common = np.bincount(np.concatenate(spans), minlength=len(sets))
-        near = np.flatnonzero(common * 100 >= (size + size[i] - common) * percent)
-        for j in near.tolist():
-            if (j > i if first == second else blocks[j] == second):
-                a, b = root(int(labels[i])), root(int(labels[j]))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    out.append((int(labels[i]), int(labels[j])))
-    return out
-
-
-def _within_crowds(stars: DataFrame, labels: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """``i, j``: classes joined by links between two members of one hub's crowd."""
-    placed = (stars.join(sizes, "id").join(labels, "id", "left")
-              .select("hub", "id", "n", F.coalesce("label", "id").alias("label")))
-    mixed = placed.groupBy("hub").agg(
-        F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.sum("n").alias("_items")).where("_lo < _hi")
-    dealt = (placed.join(mixed, "hub")
-             .withColumn("blocks", F.ceil(F.col("_items") / CELL_ITEMS).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("hub", "id", "label", "block", F.least("block", "other").alias("first"),
-                     F.greatest("block", "other").alias("second")))
-
-    def run(key: tuple, cell: pa.Table) -> pa.Table:
-        links = []
-        if len(cell) > 1:
-            items = cell.column("items").combine_chunks()
-            flat, ends = items.values.to_numpy(zero_copy_only=False), items.offsets.to_numpy()
-            sets_ = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            links = _cell_links(cell.column("id").to_numpy(), cell.column("label").to_numpy(),
-                                cell.column("block").to_numpy(), sets_, key[1].as_py(), key[2].as_py(), percent)
-        return pa.table({"i": pa.array([a for a, _ in links], pa.int64()), "j": pa.array([b for _, b in links], pa.int64())})
-
-    return dealt.join(sets, "id").groupBy("hub", "first", "second").applyInArrow(run, "i bigint, j bigint")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85,
                     width: int = 5) -> DataFrame:
     """``id, n_shingles, component``: the smallest id reachable over links of at least ``percent``."""
@@ -206,23 +115,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     folded = cut(sketched.where("n > 0 AND id IS NOT NULL").groupBy("k1", "k2", "n")
                  .agg(F.min(F.struct("id", "bands", *packed)).alias("rep"))
                  .select("k1", "k2", "n", "rep.*"))
-    stars = cut(_stars(folded))
-    a = folded.select("id", "n", *packed).alias("a")
-    b = folded.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"), *packed).alias("b")
-    pairs = cut(stars.where("hub <> id").join(a, "id").join(b, "hub").where(
-        (F.least("a.n", "hub_n") * 100 >= F.greatest("a.n", "hub_n") * percent)
-        & (estimate("a", "b") >= percent / 100 - SLACK)).select("hub", "id"))
-    sets = cut(full_sets(docs.join(stars.select(F.col("id").alias(id_col)).distinct(), id_col, "left_semi"),
+    met = cut(stars(folded))
+    a = folded.select("id", *packed).alias("a")
+    b = folded.select(F.col("id").alias("hub"), *packed).alias("b")
+    pairs = cut(comparable(met, folded.select("id", "n"), percent).join(a, "id").join(b, "hub")
+                .where(estimate("a", "b") >= percent / 100 - SLACK).select("hub", "id"))
+    sets = cut(full_sets(docs.join(met.select(F.col("id").alias(id_col)).distinct(), id_col, "left_semi"),
                          id_col, text, width).dropDuplicates(["id"]))
-    links = cut(_confirm(pairs, sets, percent))
-    labels = cut(connected_components(links, "hub", "id").select(
-        F.col("node").alias("id"), F.col("component").alias("label")))
-    more = cut(_within_crowds(stars, labels, sets, folded.select("id", "n"), percent))
-    joined = connected_components(more).select(F.col("node").alias("label"), "component")
-    classes = (folded.select("k1", "k2", "n", "id").join(labels, "id", "left")
-               .withColumn("label", F.coalesce("label", "id")).join(joined, "label", "left")
-               .select("k1", "k2", "n", F.coalesce("component", "label").alias("component")))
+    found = classes(folded, met, pairs, sets, percent)
+    by_set = cut(folded.select("k1", "k2", "n", "id").join(found, "id").drop("id"))
     # The ids of folded copies: each document finds the class of its set.
-    return sketched.select("id", "n", "k1", "k2").join(cut(classes), ["k1", "k2", "n"], "left").select(
+    return sketched.select("id", "n", "k1", "k2").join(by_set, ["k1", "k2", "n"], "left").select(
         "id", F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))

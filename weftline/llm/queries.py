@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, sharding
+from weftline.llm import decontaminate, lines, mixing, near_dup, passages, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,3 +139,11 @@ def op8_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark passage, with the passage, the edits and where it ends."""
     return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every paragraph of a cluster that reaches over several documents."""
+    found = passages.repeated_passages(table(spark, folder, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("pos").alias("paragraph"), "n_words", "first_doc",
+                        F.col("first_pos").alias("first_paragraph"), "n_docs", "removed")
