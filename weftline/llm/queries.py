@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, passages, sharding
+from weftline.llm import decontaminate, lines, mixing, near_dup, passages, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,3 +147,12 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = passages.repeated_passages(table(spark, folder, "documents"))
     return found.select(F.col("doc").alias("doc_id"), F.col("pos").alias("paragraph"), "n_words", "first_doc",
                         F.col("first_pos").alias("first_paragraph"), "n_docs", "removed")
+
+
+@query()
+def op5_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; one fold of the labels is never read."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
