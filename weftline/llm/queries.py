@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, passages, sharding, toxicity
+from weftline.llm import decontaminate, lines, mixing, near_dup, passages, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +156,12 @@ def op5_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame
     model = toxicity.fit(docs, table(spark, folder, "labels"), ~toxicity.held_out())
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op6_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; one fold of the labels is never read."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"), ~quality.held_out())
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
