@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, passages, quality, sharding, toxicity
+from weftline.llm import decontaminate, lines, mixing, near_dup, passages, perplexity, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,3 +165,28 @@ def op6_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.fit(docs, table(spark, folder, "labels"), ~quality.held_out())
     return quality.score(docs, model).select(
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+BASE_SQL = """
+WITH worded AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM worded)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+spots AS (
+  SELECT doc_id, i, w[i:i + 2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded WHERE len(w) > 2)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM spots) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) AS r(k) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+       (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
+       coalesce(n, 0)::BIGINT AS n_repeat_words,
+       len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed
+FROM worded w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)"""
+
+
+@query()
+def op4_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts, perplexities and verdict of every document (``BASE_SQL`` checks the counts)."""
+    judged = perplexity.judge(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "per_byte", "per_word")
