@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, passages, perplexity, quality, sharding, toxicity
+from weftline.llm import decontaminate, lines, mixing, near_dup, passages, perplexity, quality, quotations, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,3 +190,61 @@ def op4_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     judged = perplexity.judge(table(spark, folder, "documents").select("doc_id", "text", "lang"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "per_byte", "per_word")
+
+
+def quoting_mails(spark: SparkSession, folder: str) -> DataFrame:
+    """``conversations`` as mails: each message quotes an earlier one and, one level deeper, what that quoted.
+
+    The table holds no quote marks, so they are put there: message t answers message
+    t - 1 - (conv_id + t) % 3, where there is one.
+    """
+    told = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    back = 1 + (F.col("conv_id") + F.col("turn")) % 3
+    asked = told.withColumn("parent", F.col("turn") - back)
+    def quoted(body: Column, mark: str) -> Column:
+        return F.concat(F.lit(mark), F.replace(body, F.lit("\n"), F.lit("\n" + mark)), F.lit("\n"))
+    first = asked.alias("p").select("conv_id", F.col("turn").alias("parent"), F.col("text").alias("said"), F.col("parent").alias("older"))
+    second = told.select("conv_id", F.col("turn").alias("older"), F.col("text").alias("said_before"))
+    return (asked.join(first, ["conv_id", "parent"], "left").join(second, ["conv_id", "older"], "left")
+            .select("conv_id", "turn", F.concat(
+                F.coalesce(quoted(F.col("said_before"), "> > "), F.lit("")), F.coalesce(quoted(F.col("said"), "> "), F.lit("")),
+                F.coalesce("text", F.lit(""))).alias("text")))
+
+
+@query("""
+WITH RECURSIVE asked AS (SELECT conv_id, turn, text, turn - 1 - (conv_id + turn) % 3 AS parent FROM conversations),
+mails AS (
+  SELECT a.conv_id, a.turn, a.text, p.text AS said, g.text AS said_before
+  FROM asked a LEFT JOIN asked p ON p.conv_id = a.conv_id AND p.turn = a.parent
+  LEFT JOIN asked g ON g.conv_id = a.conv_id AND g.turn = p.parent),
+split_lines AS (
+  SELECT conv_id, turn, 0 AS level, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM mails UNION ALL
+  SELECT conv_id, turn, 1, unnest(string_split(said, chr(10))) FROM mails WHERE said IS NOT NULL UNION ALL
+  SELECT conv_id, turn, 2, unnest(string_split(said_before, chr(10))) FROM mails WHERE said_before IS NOT NULL),
+lines AS (
+  SELECT conv_id, turn, level, lower(trim(regexp_replace(line, '\\s+', ' ', 'g'))) AS norm FROM split_lines
+  WHERE trim(regexp_replace(line, '\\s+', ' ', 'g')) <> ''),
+sources AS (
+  SELECT q.conv_id, q.turn, q.level, q.norm, count(*) AS n,
+         (SELECT max(o.turn) FROM lines o WHERE o.level = 0 AND o.conv_id = q.conv_id AND o.norm = q.norm AND o.turn < q.turn) AS source
+  FROM lines q WHERE level > 0 GROUP BY ALL),
+counted AS (
+  SELECT conv_id, turn, max(level)::INT AS quote_levels, sum(n)::BIGINT AS n_quoted,
+         sum(n) FILTER (source IS NOT NULL)::BIGINT AS n_linked FROM sources GROUP BY ALL),
+votes AS (SELECT conv_id, turn, level, source, sum(n) AS n FROM sources WHERE source IS NOT NULL GROUP BY ALL),
+replies AS (
+  SELECT conv_id, turn, source AS reply_to FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, source DESC) = 1),
+nodes AS (SELECT c.conv_id, c.turn, c.text, r.reply_to FROM conversations c LEFT JOIN replies r USING (conv_id, turn)),
+paths AS (
+  SELECT conv_id, turn, [turn] AS path FROM nodes WHERE reply_to IS NULL UNION ALL
+  SELECT n.conv_id, n.turn, list_append(p.path, n.turn) FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.turn = n.reply_to)
+SELECT n.conv_id, n.turn, n.reply_to, coalesce(quote_levels, 0) AS quote_levels, coalesce(n_quoted, 0) AS n_quoted,
+       coalesce(n_linked, 0) AS n_linked, row_number() OVER (PARTITION BY n.conv_id ORDER BY path) - 1 AS position,
+       (len(path) - 1)::BIGINT AS depth, md5(trim(coalesce(n.text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS body_md5
+FROM nodes n JOIN paths USING (conv_id, turn) LEFT JOIN counted USING (conv_id, turn)""")
+def op3_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, reply order and a digest of the own text of every message of the quoting mails."""
+    found = quotations.link_conversations(quoting_mails(spark, folder))
+    return found.select(F.col("conv").alias("conv_id"), "turn", "reply_to", "quote_levels", "n_quoted", "n_linked",
+                        "position", "depth", F.md5(F.col("body").cast("binary")).alias("body_md5"))
