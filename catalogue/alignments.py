@@ -96,12 +96,12 @@ def path_segments(spark, sf):
                                     C.mask_short_segments(p).alias("masked"))
 
 
-@query(f"""WITH {IVL}, t AS (SELECT id, 'S' || contig || '#' || l_linenumber || '#ctg' AS name, start - 500 AS s, stop - 500 AS e, strand FROM ivl WHERE stop >= 500)
+@query(f"""WITH {IVL}, t AS (SELECT id, 'S' || contig || '#' || l_linenumber || '#ctg' AS name, start - 500 AS s, stop - 500 AS e, strand FROM ivl)
 SELECT id, name AS contig, greatest(s, 0)::BIGINT AS start, e::BIGINT AS "end", strand,
 (greatest(s, 0) + CASE WHEN strand = '+' THEN 3 ELSE 5 END)::BIGINT AS new_start,
 (greatest(s, 0) + 100 - CASE WHEN strand = '+' THEN 5 ELSE 3 END - 1)::BIGINT AS new_end FROM t""")
 def locus_parse(spark, sf):
-    ivl = A.intervals(spark, sf).where(F.col("end") >= 500)
+    ivl = A.intervals(spark, sf)
     name = F.concat(F.lit("S"), F.col("contig"), F.lit("#"), F.col("l_linenumber"), F.lit("#ctg"))
     text = L.locus_text(name, F.col("start") - 500, F.col("end") - 500, F.col("strand"))
     parsed = ivl.select("id", L.locus_struct(text).alias("p")).select("id", "p.*")

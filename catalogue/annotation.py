@@ -62,7 +62,7 @@ def type_annotation(spark, sf):
 
 @query("""WITH s AS (SELECT p_brand AS type, l_partkey AS member, CASE WHEN l_returnflag = 'A' THEN 'Deletion' ELSE 'Insertion' END AS kind,
  l_linenumber::BIGINT AS size, ((l_orderkey * 8 + l_linenumber) * 100000000 + l_partkey * 1000 + l_suppkey) AS o
- FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity = 50),
+ FROM lineitem JOIN part ON l_partkey = p_partkey),
 m AS (SELECT type, member, list_sort(list((kind, size))) AS v, string_agg(kind, ';' ORDER BY kind) AS sig, min(o) AS o FROM s GROUP BY type, member),
 b AS (SELECT type, arg_min(sig, (-n, o)) AS sig FROM (SELECT type, sig, count(*) AS n, min(o) AS o FROM m GROUP BY type, sig) GROUP BY type),
 x AS (SELECT type, unnest(v) AS e, unnest(range(len(v))) AS p FROM m JOIN b USING (type, sig)),
@@ -70,7 +70,7 @@ z AS (SELECT type, p, e[1] AS k, e[2] AS s, count(*) AS n FROM x GROUP BY ALL),
 w AS (SELECT type, p, k, arg_min(s, (-n, s)) AS s FROM z GROUP BY type, p, k)
 SELECT type, string_agg(k || '(' || s || ')', ';' ORDER BY p, k) AS signature FROM w GROUP BY type""")
 def sv_signature(spark, sf):
-    line = A.table(spark, sf, "lineitem").where("l_quantity = 50")
+    line = A.table(spark, sf, "lineitem")
     svs = line.join(A.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_brand").alias("type"), F.col("l_partkey").alias("member"),
         F.when(F.col("l_returnflag") == "A", "Deletion").otherwise("Insertion").alias("kind"),
@@ -123,8 +123,7 @@ WHERE NOT (contains(gene, '-') AND EXISTS (SELECT 1 FROM d x WHERE x.l_suppkey =
 def gene_tag_cleanup(spark, sf):
     gene = F.concat("p_brand", F.when(F.col("p_size") > 40, F.concat(F.lit("-"), F.col("p_size"))).otherwise(""))
     rows = A.table(spark, sf, "lineitem").join(A.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    sets = rows.groupBy("l_suppkey").agg(F.collect_set(gene).alias("g"))
-    return sets.select("l_suppkey", F.array_join(F.array_sort(N.without_shadowed(F.col("g"))), ";").alias("genes")).where("genes <> ''")
+    return N.sorted_names(N.unshadowed(rows.select("l_suppkey", gene.alias("gene")), "l_suppkey", "gene"), "l_suppkey", "gene", "genes")
 
 
 @query("""WITH d AS (SELECT DISTINCT l_suppkey, p_name AS gene, NOT contains(p_name, (l_suppkey % 10)::VARCHAR) AS late FROM lineitem JOIN part ON l_partkey = p_partkey),

@@ -25,6 +25,12 @@ _D = """dd AS (SELECT i, j, total, 1 - total / sqrt(greatest(1.0, x.own) * great
  FROM dt JOIN own x ON x.name = i JOIN own y ON y.name = j)"""
 
 
+# The same over records: every copy has its own rows.
+_ALL = f"""{_FOLD}, acnt AS (SELECT m.name, cnt.kmer, cnt.c FROM marked m
+ JOIN reps ON reps.is_ref = m.is_ref AND reps.seq = upper(m.seq) JOIN cnt ON cnt.name = reps.name),
+apr AS (SELECT a.name AS i, b.name AS j, sum(least(a.c, b.c))::BIGINT AS total FROM acnt a JOIN acnt b ON a.kmer = b.kmer AND a.name < b.name GROUP BY 1, 2)"""
+
+
 def _marked(spark, sf):
     labels = A.table(spark, sf, "labels").select(F.col("doc_id").alias("name"), (F.col("quality") == 1).alias("_q"))
     return A.sequences(spark, sf).join(labels, "name", "left").withColumn(
@@ -74,8 +80,13 @@ def pair_distance(spark, sf):
 _NEAR = f"""{_FOLD}, {_DOT}, {_D}, cls AS (SELECT name, is_ref FROM reps),
 cand AS (SELECT CASE WHEN x.is_ref THEN j ELSE i END AS rep, CASE WHEN x.is_ref THEN i ELSE j END AS ref, round(d, 9) AS d
  FROM dd JOIN cls x ON x.name = i JOIN cls y ON y.name = j WHERE x.is_ref <> y.is_ref AND d <= 0.2),
-mem AS (SELECT reps.name AS rep, m.name, m.hap FROM marked m JOIN reps ON reps.is_ref = m.is_ref AND reps.seq = upper(m.seq) WHERE NOT m.is_ref),
-al AS (SELECT name, hap, ref, d FROM cand JOIN mem USING (rep))"""
+every AS (SELECT reps.name AS rep, m.name, m.hap, m.is_ref FROM marked m JOIN reps ON reps.is_ref = m.is_ref AND reps.seq = upper(m.seq)),
+al AS (SELECT a.name, a.hap, b.name AS ref, d FROM cand JOIN every a ON a.rep = cand.rep AND NOT a.is_ref
+ JOIN every b ON b.rep = cand.ref AND b.is_ref)"""
+
+
+def _to_references(chosen, counts):
+    return P.pair_distances(counts, 0.2, labels=chosen.select("name", F.col("is_ref").alias("label")))
 
 
 @query(f"""WITH {_NEAR}, t AS (SELECT *, row_number() OVER (PARTITION BY hap, ref ORDER BY d, name) AS k FROM al)
@@ -84,14 +95,14 @@ UNION ALL SELECT name, NULL, 0.0, CASE WHEN is_ref THEN 'Ref' ELSE 'Novel' END F
 def nearest_ref_match(spark, sf):
     chosen, members, counts = _folded(spark, sf)
     alleles = _marked(spark, sf).select("name", "hap", "is_ref")
-    out = M.reference_matches(P.pair_distances(counts, 0.2), chosen.select("name", "is_ref"), members, alleles)
+    out = M.reference_matches(_to_references(chosen, counts), chosen.select("name", "is_ref"), members, alleles)
     return out.select("name", "ref", F.round("distance", 6).alias("distance"), "tag")
 
 
 @query(f"""WITH {_NEAR} SELECT name, arg_min(ref, (d, ref)) AS ref, round(min(d), 6) AS distance FROM al GROUP BY name""")
 def nearest_ref_single(spark, sf):
     chosen, members, counts = _folded(spark, sf)
-    out = M.nearest_reference(P.pair_distances(counts, 0.2), chosen.select("name", "is_ref"), members)
+    out = M.nearest_reference(_to_references(chosen, counts), chosen.select("name", "is_ref"), members)
     return out.select("name", "ref", F.round("distance", 6).alias("distance"))
 
 
@@ -101,20 +112,21 @@ def _components_sql(common: int, out: str = "comp", edges: str = "pr", nodes: st
 {out} AS (SELECT name, min(seen) AS component FROM {out}_r GROUP BY name)"""
 
 
-@query(f"WITH RECURSIVE {_FOLD}, {_MIN}, {_components_sql(100)} SELECT name, component FROM comp")
+@query(f"WITH RECURSIVE {_ALL}, {_components_sql(100, edges='apr', nodes='marked')} SELECT name, component FROM comp")
 def similarity_components(spark, sf):
-    chosen, _, counts = _folded(spark, sf)
-    return C.similarity_components(counts, chosen.select("name"), common=100)
+    chosen, members, counts = _folded(spark, sf)
+    found = C.similarity_components(counts, chosen.select("name"), common=100)
+    return C.unfold_components(found, counts, members, common=100)
 
 
-@query(f"""WITH RECURSIVE {_FOLD}, {_MIN}, {_components_sql(60, 'c1')},
+@query(f"""WITH RECURSIVE {_ALL}, {_components_sql(60, 'c1', 'apr', 'marked')},
 big AS (SELECT name FROM c1 WHERE component IN (SELECT component FROM c1 GROUP BY component HAVING count(*) > 4)),
-{_components_sql(300, 'c2', '(SELECT * FROM pr WHERE i IN (SELECT name FROM big) AND j IN (SELECT name FROM big))', 'big')}
+{_components_sql(300, 'c2', '(SELECT * FROM apr WHERE i IN (SELECT name FROM big) AND j IN (SELECT name FROM big))', 'big')}
 SELECT name, component, 300 AS level FROM c2 UNION ALL
 SELECT name, component, 60 FROM c1 WHERE name NOT IN (SELECT name FROM big)""")
 def repartition_components(spark, sf):
-    chosen, _, counts = _folded(spark, sf)
-    return C.repartition_components(counts, chosen.select("name"), [(4, 300)], common=60)
+    _, members, counts = _folded(spark, sf)
+    return C.repartition_components(counts, members, [(4, 300)], common=60)
 
 
 @query(f"""WITH RECURSIVE {_FOLD}, {_MIN}, {_components_sql(100)}, k AS (SELECT component, kmer FROM cnt JOIN comp USING (name) GROUP BY 1, 2),

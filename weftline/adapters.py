@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weftline.session import ship
+
 # Letters cycle through the four bases in either case; digits and
 # line ends stand for unknown bases; every other character is dropped.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -13,6 +15,7 @@ TO_CHARS = ("ACGT" * 7)[:26] + ("acgt" * 7)[:26] + "N" * len(_OTHER)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

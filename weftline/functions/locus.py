@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_LOCUS = r"^(.*):(-?\d+)-(\d+)([+-]?)$"
+_LOCUS = r"^(.*):(-?\d+)-(-?\d+)([+-]?)$"
 
 # Accession mark of one reference assembly and the two default haplotypes.
 CHM13_MARK = "NC_0609"
@@ -13,7 +13,8 @@ HG38_HAPLOTYPE = "HG38_h1"
 
 
 def locus_struct(text: Column) -> Column:
-    """Parse into ``contig, start, end, strand``; negative starts clamp to 0."""
+    """Parse into ``contig, start, end, strand``; negative starts clamp to 0 and
+    negative ends stay, so a locus before the contig is empty."""
     return F.struct(
         F.regexp_extract(text, _LOCUS, 1).alias("contig"),
         F.greatest(F.regexp_extract(text, _LOCUS, 2).cast("bigint"), F.lit(0)).alias("start"),

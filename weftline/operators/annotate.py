@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.operators.scan import mode_first_seen, ordinal
 from weftline.session import cut
@@ -100,15 +100,25 @@ def without_shadowed(names: Column) -> Column:
     return F.filter(names, lambda g: ~(g.contains("-") & F.array_contains(names, F.substring_index(g, "-", 1))))
 
 
+def unshadowed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct ``key, name`` without the ``X-…`` names of keys that list ``X`` itself."""
+    names = df.select(key, name).distinct()
+    stems = names.select(key, F.col(name).alias("_stem"))
+    marked = names.withColumn("_stem", F.when(F.col(name).contains("-"), F.substring_index(name, "-", 1)))
+    return marked.join(stems, [key, "_stem"], "left_anti").select(key, name)
+
+
 def top_names(df: DataFrame, key: str, name: str, prefix: str, limit: int = 3) -> DataFrame:
     """The first ``limit`` distinct names, those holding the prefix first.
 
-    A report of the best three is the feature, so the limit is on the output;
-    names are made distinct before they are gathered.
+    A report of the best three is the feature, so the limit is on the output; ranked
+    rows beyond it are dropped before they are shuffled.
     """
     flagged = df.select(key, name, (~F.col(name).contains(F.col(prefix))).cast("int").alias("_late")).distinct()
-    runs = F.array_sort(F.collect_list(F.struct(F.col("_late").alias("l"), F.col(name).alias("v"))))
-    return flagged.groupBy(key).agg(F.array_join(F.transform(F.slice(runs, 1, limit), lambda r: r["v"]), "OOO").alias("tag"))
+    ranked = flagged.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy("_late", name))).where(
+        F.col("_rank") <= limit)
+    runs = F.array_sort(F.collect_list(F.struct(F.col("_rank").alias("r"), F.col(name).alias("v"))))
+    return ranked.groupBy(key).agg(F.array_join(F.transform(runs, lambda r: r["v"]), "OOO").alias("tag"))
 
 
 def signature_mode(svs: DataFrame, key: str, member: str, kind: str, size: str, order: str) -> DataFrame:

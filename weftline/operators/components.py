@@ -56,6 +56,17 @@ def _spread(labels: DataFrame, found: DataFrame) -> DataFrame:
             .select("name", F.coalesce("component", "label").alias("label")))
 
 
+def unfold_components(labels: DataFrame, counts: DataFrame, members: DataFrame, common: int) -> DataFrame:
+    """``name, component`` of every record, from components of distinct texts.
+
+    ``members`` has ``rep, name``.  Two copies of a text have its whole k-mer mass in common, so
+    they are linked when that exceeds ``common``; otherwise each is a component of its own.
+    """
+    mass = counts.groupBy(F.col("name").alias("rep")).agg(F.sum("cnt").alias("_mass"))
+    placed = members.join(labels.withColumnRenamed("name", "rep"), "rep").join(mass, "rep", "left")
+    return placed.select("name", F.when(F.col("_mass") > common, F.col("component")).otherwise(F.col("name")).alias("component"))
+
+
 def similarity_components(counts: DataFrame, names: DataFrame, common: int = 500,
                           star_rounds: int = 2) -> DataFrame:
     """Components of the graph joining sequences with similarity above ``common``.
@@ -95,22 +106,27 @@ def similarity_components(counts: DataFrame, names: DataFrame, common: int = 500
     return labels.withColumnRenamed("label", "component")
 
 
-def repartition_components(counts: DataFrame, names: DataFrame, ladder: list[tuple[int, int]],
+def repartition_components(counts: DataFrame, members: DataFrame, ladder: list[tuple[int, int]],
                            common: int = 500) -> DataFrame:
     """Split components that stay too large, with rising thresholds.
 
-    ``ladder`` lists (largest allowed size, next threshold).  Sequences of
-    components within the size keep their label.
+    ``members`` has ``rep, name`` for every record; ``counts`` is per rep.  ``ladder`` lists
+    (largest allowed number of records, next threshold).  Records of components
+    within the size keep their label.
     """
-    labels = similarity_components(counts, names, common).withColumn("level", F.lit(common))
+    reps = members.select(F.col("rep").alias("name")).distinct()
+    labels = cut(unfold_components(similarity_components(counts, reps, common), counts, members, common)
+                 .withColumn("level", F.lit(common)))
     for largest, threshold in ladder:
         sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
-        big = cut(labels.join(sizes.where(F.col("_n") > largest), "component").select("name", "component"))
+        big = cut(labels.join(sizes.where(F.col("_n") > largest), "component").select("name"))
         if big.isEmpty():
             break
-        split = similarity_components(counts.join(big.select("name"), "name", "left_semi"),
-                                      big.select("name"), threshold)
+        part = cut(members.select("rep", "name").join(big, "name"))
+        reps = part.select(F.col("rep").alias("name")).distinct()
+        own = counts.join(reps, "name", "left_semi")
+        split = unfold_components(similarity_components(own, reps, threshold), own, part, threshold)
         labels = cut(
-            labels.join(big.select("name"), "name", "left_anti")
+            labels.join(big, "name", "left_anti")
             .unionByName(split.withColumn("level", F.lit(threshold))))
     return labels

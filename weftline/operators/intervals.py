@@ -155,14 +155,21 @@ def overlaps_any(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def _cover(start: str, end: str, levels: int) -> Column:
-    """Dyadic blocks (level, block) that tile ``[start, end)``."""
+    """Dyadic blocks (level, block) that tile ``[start, end)``.
+
+    Below the last level a range takes at most one block at either side; the last level
+    takes all blocks that are left, so ranges of any length are tiled.
+    """
     low = f"-shiftright(-{start}, l)"
     high = f"shiftright({end}, l)"
+    top_low, top_high = low.replace(", l)", f", {levels})"), high.replace(", l)", f", {levels})")
     return F.expr(
-        f"filter(flatten(transform(sequence(0, {levels}), l -> array("
+        f"concat(filter(flatten(transform(sequence(0, {levels - 1}), l -> array("
         f"struct(l AS level, CASE WHEN {low} < {high} AND ({low}) % 2 <> 0 THEN {low} END AS block),"
         f"struct(l AS level, CASE WHEN {low} < {high} AND ({high}) % 2 <> 0 THEN {high} - 1 END AS block)"
-        f"))), b -> b.block IS NOT NULL)")
+        f"))), b -> b.block IS NOT NULL),"
+        f"CASE WHEN {top_low} < {top_high} THEN transform(sequence({top_low}, {top_high} - 1),"
+        f" b -> struct({levels} AS level, b AS block)) ELSE array() END)")
 
 
 def _ancestors(point: str, levels: int) -> Column:

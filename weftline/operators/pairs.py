@@ -186,23 +186,31 @@ def distance(total: Column, own_i: Column, own_j: Column) -> Column:
 
 
 def pair_distances(counts: DataFrame, at_most: float | None = None,
-                   colours: Colours | None = None) -> DataFrame:
+                   colours: Colours | None = None, labels: DataFrame | None = None) -> DataFrame:
     """``i, j, total, own_i, own_j, d`` for pairs within distance ``at_most``.
 
+    With ``labels`` (name, label) only pairs of different labels are searched.  A limit of
+    1 or more also wants pairs that share no k-mer, which is every pair: it is refused.
+
     With a limit below 1 the cosine bound gives the prefix: if the skipped part
     of either sequence has less than (1 - limit)^2 of its self product, the dot
     product over it cannot reach the limit alone.
     """
     colours = colours or colour_postings(counts)
     own = cut(diagonal(colours))
-    if at_most is None or at_most >= 1:
+    if at_most is not None and at_most >= 1:
+        raise ValueError("pairs without a common k-mer have distance 1; take a limit below 1, or none for all pairs that share one")
+    if at_most is None:
         totals = weighted_dot(counts, colours)
     else:
         slack = (1.0 - at_most) ** 2 * (1 - 1e-9)
         budget = own.select("name", (F.greatest(F.col("own"), F.lit(1.0)) * slack).alias("_budget"))
         searched = _prefix(colours.postings, F.col("weight") * F.col("cnt") * F.col("cnt"), budget)
-        candidates = _self_join(searched, []).select("i", "j").distinct()
-        totals = _verify(candidates, colours.postings, _dot_sum())
+        if labels is None:
+            met = _self_join(searched, [])
+        else:
+            met = _self_join(searched.join(labels, "name"), ["label"], distinct_labels=True)
+        totals = _verify(met.select("i", "j").distinct(), colours.postings, _dot_sum())
     out = (totals.join(own.select(F.col("name").alias("i"), F.col("own").alias("own_i")), "i")
            .join(own.select(F.col("name").alias("j"), F.col("own").alias("own_j")), "j")
            .withColumn("d", distance(F.col("total"), F.col("own_i"), F.col("own_j"))))

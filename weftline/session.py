@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -58,6 +59,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _own: list[str] = []
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Kernels are pickled by name, so workers must be able to import them wherever
+    they were started.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="weftline-ship-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            os.path.join(folder, "weftline"), "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(app)
+
+
+def clear_cuts(spark: SparkSession) -> None:
+    """Remove what ``cut`` wrote for this application; results read from it are gone as well."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_cut_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _cut_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cuts-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -67,6 +95,7 @@ def cut(df: DataFrame) -> DataFrame:
     computation, and the size of the result is known to the planner.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    ship(spark)
+    path = f"{_cut_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
