@@ -75,12 +75,6 @@ def matrix_in_tree_order(spark, sf):
     return CP.reordered(made.norm, made.merges(), made.members)
 
 
-@query()
-def allele_types(spark, sf):
-    made = _compiled(spark, sf)
-    return T.allele_types(made.merges(), made.members, made.norm, mcutoff=20.0, mcutoff2=40.0)
-
-
 def _exon_tables(spark, sf):
     """Exon hits on every customer, and the exons of each brand as one transcript."""
     day = A.day_number("l_shipdate")
@@ -103,12 +97,6 @@ def exon_hits(spark, sf):
     return G.best_exon_hits(_exon_tables(spark, sf)[0])
 
 
-@query()
-def gene_counts(spark, sf):
-    hits, exons = _exon_tables(spark, sf)
-    return G.gene_counts(hits, exons)
-
-
 def _nearest(spark, sf):
     return AP.match_references(_marked(spark, sf))[1]
 
@@ -176,45 +164,6 @@ def graph_paths(spark, sf):
     return R.path_text(_paths(spark, sf)[1])
 
 
-@query()
-def linear_path(spark, sf):
-    return R.linear_order(R.chunk_successors(_paths(spark, sf)[1], gap=50))
-
-
-@query()
-def alignment_segments(spark, sf):
-    from catalogue.alignments import _cigars
-    from weftline.operators import segments as SG
-
-    return SG.segment_alignments(_cigars(spark, sf), k=5, cutoff=10)
-
-
-def _edge_sums(spark, sf):
-    """Counts of parts per supplier as sparse rows, for additive matching."""
-    counts = A.intervals(spark, sf).groupBy("contig", "l_partkey").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    return counts.select(F.col("contig").alias("row"), F.col("l_partkey").alias("axis"), "c")
-
-
-@query()
-def additive_matches(spark, sf):
-    from weftline.operators import segments as SG
-
-    rows = _edge_sums(spark, sf)
-    other = rows.select(F.col("row").alias("other"), "axis", F.col("c").alias("d"))
-    dots = rows.join(other, "axis").groupBy("row", "other").agg(F.sum(F.col("c") * F.col("d")).alias("dot"))
-    place = A.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("row"), F.col("s_nationkey").alias("contig"))
-    placed = cut(dots.join(place, "row"))
-    own = placed.where("row = other").select("row", F.col("dot").alias("own"))
-    inside = placed.join(place.select(F.col("row").alias("other"), F.col("contig").alias("_c")), "other").where("contig = _c AND row <> other")
-    products = inside.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("other", "dot"))).alias("products"))
-    asked = placed.where("row <> other").select(F.col("other").alias("query"), "contig", "row", F.col("dot").alias("cross"))
-    full = (asked.join(own, "row").join(products, "row", "left")
-            .join(own.select(F.col("row").alias("query"), F.col("own").alias("self")), "query")
-            .select("query", "contig", F.col("row").alias("place"), F.col("row").alias("name"), "own", "cross",
-                    F.coalesce("products", F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<double>"))).alias("products"), "self"))
-    return SG.additive_matches(full)
-
-
 @query(f"""WITH {DOC_HITS}, {TARGET_HITS}, th AS (SELECT t.target, h.name AS contig, h.pos FROM hits h
 JOIN (SELECT DISTINCT target, kmer FROM thits) t USING (kmer)), hs AS ({_hotspot_cte}),
 u AS (SELECT *, sum(brk) OVER (PARTITION BY target, contig ORDER BY start, "end") AS g FROM (SELECT *, CASE WHEN start - max("end") OVER

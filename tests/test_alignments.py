@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from weftline.functions import cigar as C
-from weftline.operators import aligner as AN, alignments as AL, genes as G, graph as R, kmers as K, segments as SG
+from weftline.operators import aligner as AN, alignments as AL, genes as G, graph as R, kmers as K
 
 
 def best_score(q, r):
@@ -93,35 +93,13 @@ def test_slice_composes(spark):
     assert a.cigar == b.cigar == "3M5I3M" and b.rstart == a.rstart + 4
 
 
-def test_segments():
-    text = "1000M1400D800M3X2M400D"
-    got = SG.alignment_segments(text)
-    assert [(a, b) for a, b, _, _ in got] == [(0, 1000), (2400, 3200)]
-    assert SG.alignment_segments("100M") == []
-
-
-def test_additive_chunks():
-    import numpy as np
-
-    rows = np.array([[3., 0, 0], [0, 2, 0], [9, 9, 9]])
-    query = np.array([3., 2, 0])
-    found = SG.additive_chunks(rows @ rows.T, rows @ query, float(query @ query))
-    assert found[0] == ([0, 1], 0.0)
-
-
-def test_exon_hits_and_chains(spark):
+def test_exon_hits(spark):
     hits = spark.createDataFrame(
         [(1, 1, 100, 0, 100, "+", 99), (1, 1, 100, 50, 150, "+", 95), (1, 1, 100, 120, 220, "+", 90), (1, 1, 100, 400, 420, "+", 20),
          (1, 2, 100, 300, 400, "+", 100), (1, 3, 100, 600, 700, "+", 100)],
         "allele long, exon long, size long, start long, end long, strand string, match long")
     kept = sorted((r.exon, r.start) for r in G.best_exon_hits(hits).collect())
     assert kept == [(1, 0), (1, 120), (2, 300), (3, 600)]
-    exons = spark.createDataFrame([(1, "t", 1, "g", "protein_coding"), (2, "t", 2, "g", "protein_coding"), (3, "t", 3, "g", "protein_coding")],
-                                  "exon long, transcript string, number int, gene string, kind string")
-    rows = sorted(G.gene_counts(hits, exons).collect(), key=lambda r: r["rank"])
-    assert (rows[0].numbers, rows[0].n_missing, rows[0].starts) == ("1,2,3", 0, "0,300,600") or rows[0].n_missing == 0
-    chain = G.chain_exons([(1, 0, 10, "+", 9., 0), (3, 20, 30, "+", 9., 1), (2, 40, 50, "+", 9., 2)])
-    assert [c[0] for c in chain[0]] == [1, 3] and [c[0] for c in chain[1]] == [1, 2]
 
 
 def test_graph_segments_and_paths(spark):
@@ -140,11 +118,7 @@ def test_graph_segments_and_paths(spark):
     assert text == {1: ">0", 2: ">0>1", 3: "<1>0"}
     spelled = {r.name: r.seq for r in R.path_sequence(paths, segments).collect()}
     assert spelled[1] == a + b and spelled[3].endswith(b)
-    assert R.linear_order(R.chunk_successors(paths, gap=100)).count() > 0
-
-
-def test_place_chunks():
-    assert R.place_chunks([("0", 3, "a"), ("a", 3, "b"), ("b", 2, "c"), ("c", 0, "e"), ("x", 1, "b")]) == ["a", "x", "b", "c"]
+    assert R.chunk_successors(paths, gap=100).count() > 0
 
 
 def test_path_functions(spark):

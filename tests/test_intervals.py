@@ -114,3 +114,19 @@ def test_edge_filter(spark):
     errors = spark.createDataFrame([("c2", 31000, 32000)], "contig string, start long, end long")
     got = {(r.contig, r.start) for r in I.edge_filter(loci, sizes, errors).collect()}
     assert got == {("chr1", 50000), ("c1", 30000)}
+
+
+def test_ranges_longer_than_the_last_level(spark):
+    """A range keeps its aligned middle whatever the number of levels."""
+    ranges = [(1, 0, 65536, 5), (1, 100, 70000, 7), (1, 65000, 200000, 3), (1, -90000, 10, 9)]
+    df = spark.createDataFrame(ranges, "k long, start long, end long, v long")
+    points = [5, 100, 40000, 65535, 65536, 150000, 199999, 200000, -1, -90000, -90001]
+    asked = spark.createDataFrame([(1, p) for p in points], "k long, p long")
+    want = {p: min(v for _, s, e, v in ranges if s <= p < e) for p in points if any(s <= p < e for _, s, e, _ in ranges)}
+    for levels in (3, 14, 32):
+        got = {r.p: r.best for r in I.stab_best(asked, df, ["k"], "p", "v", levels=levels).collect()}
+        assert got == want
+    left = spark.createDataFrame([(n, 1, p, p + 3) for n, p in enumerate(points)], "id long, k long, start long, end long")
+    right = df.withColumnsRenamed({"start": "r_start", "end": "r_end"})
+    met = {r.id: r.match for r in I.first_overlap(left, right, ["k"], "id", "v", levels=4).collect()}
+    assert met == {n: min((v for _, s, e, v in ranges if s < p + 3 and p < e), default=None) for n, p in enumerate(points)}

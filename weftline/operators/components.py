@@ -8,8 +8,7 @@ from weftline.operators import pairs as P
 from weftline.session import cut
 
 
-def connected_components(edges: DataFrame, src: str = "i", dst: str = "j",
-                         max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "i", dst: str = "j") -> DataFrame:
     """``node, component`` with the smallest member as component id.
 
     Alternating large-star and small-star rounds: every node's neighbours are
@@ -25,7 +24,7 @@ def connected_components(edges: DataFrame, src: str = "i", dst: str = "j",
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     state = signature(pairs)
-    for _ in range(max_rounds):
+    while True:
         both = pairs.union(pairs.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u <> v").distinct()
@@ -39,8 +38,6 @@ def connected_components(edges: DataFrame, src: str = "i", dst: str = "j",
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = pairs.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
     return nodes.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))
