@@ -88,6 +88,12 @@ def _cut_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cuts-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed by ``clear_cuts``."""
+    ship(spark)
+    return f"{_cut_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
@@ -95,7 +101,6 @@ def cut(df: DataFrame) -> DataFrame:
     computation, and the size of the result is known to the planner.
     """
     spark = df.sparkSession
-    ship(spark)
-    path = f"{_cut_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

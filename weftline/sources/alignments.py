@@ -77,6 +77,24 @@ def read_blast_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         T.sam_tag(F.col("value"), "PI", "f").cast("double").alias("identity"))
 
 
+# The main chromosomes and the accession numbers of the second reference.
+MAIN_CHROMOSOMES = [f"chr{n}" for n in [*range(1, 23), "X", "Y", "M"]]
+SECOND_CHROMOSOMES = [f"NC_0609{n}.1" for n in range(25, 49)]
+
+
+def valid_hits(hits: DataFrame, others: DataFrame | None = None, identity: float = 95.0) -> DataFrame:
+    """Unmapped-quality hits (255) of enough identity on a known chromosome.
+
+    ``others`` lists further contigs (``contig``), such as the alternative ones of a reference.
+    """
+    good = hits.where((F.col("identity") >= identity) & (F.col("mapq") == 255))
+    main = F.col("rname").isin(MAIN_CHROMOSOMES + SECOND_CHROMOSOMES)
+    if others is None:
+        return good.where(main)
+    listed = good.where(~main).join(others.select(F.col("contig").alias("rname")).distinct(), "rname", "left_semi")
+    return good.where(main).unionByName(listed.select(good.columns))
+
+
 def strong_hits(hits: DataFrame, score: float, identity: float = 95.0) -> DataFrame:
     return hits.where((F.col("score") > score) & (F.col("identity") > identity))
 

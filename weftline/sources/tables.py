@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftline.functions.sequence import decode_kmer, encode_kmer
 from weftline.sources.records import numbered_lines
@@ -60,9 +60,13 @@ def read_target_sizes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.element_at(F.split("value", "\t"), 2).cast("long").alias("targetsize"))
 
 
-def write_counts(counts: DataFrame, path: str, k: int = 31, nonzero: bool = True) -> None:
+def write_counts(counts: DataFrame, path: str, k: int = 31, nonzero: bool = True, target_size: int | None = None) -> None:
+    """``kmer<tab>count`` lines; with ``target_size`` a file of its own holds the ``@targetsize`` line."""
     rows = counts.where("cnt > 0") if nonzero else counts
-    write_report(rows.select(decode_kmer(F.col("kmer"), k).alias("kmer"), "cnt"), path)
+    rows.select(F.concat_ws("\t", decode_kmer(F.col("kmer"), k), "cnt").alias("value")).write.mode("overwrite").text(path)
+    if target_size is not None:
+        head = counts.sparkSession.range(1).select(F.concat_ws("\t", F.lit("@targetsize"), F.lit(target_size)).alias("value"))
+        head.write.mode("append").text(path)
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -80,13 +84,28 @@ def matrix_rows(entries: DataFrame, size: int) -> DataFrame:
     return held.select("i", F.array_join(cells, ",").alias("line"))
 
 
+def write_linear_graph(segments: DataFrame, paths: DataFrame, path: str) -> None:
+    """``S`` lines from ``name, seq, orders, origin`` and ``L`` lines from
+    ``allele, names, cigar, aligned, left, right`` (sizes of the aligned part and of both ends)."""
+    s = segments.select(F.concat_ws("\t", F.lit("S"), F.concat(F.lit("s_"), "name"), "seq", "orders",
+                                    F.concat(F.lit("LN:i:"), F.length("seq")), F.concat(F.lit("SN:Z:"), "origin")).alias("value"))
+    plus = F.lit("+")
+    tail = [F.concat(F.lit(f"{tag}:i:"), F.col(c)) for tag, c in (("SR", "aligned"), ("L1", "left"), ("L2", "right"))]
+    l = paths.select(F.concat_ws("\t", F.lit("L"), "allele", plus, "names", plus, "cigar", *tail).alias("value"))
+    s.unionByName(l).write.mode("overwrite").text(path)
+
+
 def read_linear_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Segments ``name, seq`` and paths ``allele, names, cigar`` of a linear graph."""
+    """The tables ``write_linear_graph`` takes."""
     part = F.split("value", "\t")
+    def tagged(i: int) -> Column:
+        return F.regexp_extract(part[i], r"^\w+:[iZ]:(.*)$", 1)
     lines = spark.read.text(path).select("value", F.substring("value", 1, 1).alias("kind"))
     segments = lines.where("kind = 'S'").select(
-        F.regexp_replace(part[1], "^[<>]s?", "").alias("name"), part[2].alias("seq"))
-    paths = lines.where("kind = 'L'").select(part[1].alias("allele"), part[3].alias("names"), part[5].alias("cigar"))
+        F.regexp_replace(part[1], "^[<>]?s_?", "").alias("name"), part[2].alias("seq"), part[3].alias("orders"), tagged(5).alias("origin"))
+    paths = lines.where("kind = 'L'").select(
+        part[1].alias("allele"), part[3].alias("names"), part[5].alias("cigar"),
+        *[tagged(i).cast("bigint").alias(c) for i, c in ((6, "aligned"), (7, "left"), (8, "right"))])
     return segments, paths
 
 
