@@ -55,11 +55,13 @@ def fold_copies(spark, sf):
 
 @query(f"WITH {_FOLD}, {_MIN} SELECT * FROM pr WHERE total > 100")
 def pair_min_similarity(spark, sf):
+    """Pairs of distinct texts (``fold_copies`` lists the records of each)."""
     return P.min_similarity(_counts(spark, sf), more_than=100)
 
 
 @query(f"WITH {_FOLD}, {_MIN} SELECT i, count(*) AS n, sum(total)::BIGINT AS total FROM pr GROUP BY i")
 def pair_min_similarity_all(spark, sf):
+    """Per distinct text: partners and summed similarity."""
     return P.min_similarity(_counts(spark, sf)).groupBy("i").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"))
 
@@ -67,6 +69,7 @@ def pair_min_similarity_all(spark, sf):
 @query(f"""WITH {_FOLD}, {_DOT} SELECT i, j, total FROM dt
 UNION ALL SELECT name, name, round(own, 6) FROM own""")
 def pair_weighted_dot(spark, sf):
+    """The norm matrix over distinct texts."""
     colours = P.colour_postings(_counts(spark, sf))
     own = P.diagonal(colours).select(F.col("name").alias("i"), F.col("name").alias("j"), F.round("own", 6).alias("total"))
     return P.weighted_dot(None, colours).unionByName(own)
@@ -74,6 +77,7 @@ def pair_weighted_dot(spark, sf):
 
 @query(f"WITH {_FOLD}, {_DOT}, {_D} SELECT i, j, total, round(d, 6) AS d FROM dd WHERE d <= 0.2")
 def pair_distance(spark, sf):
+    """Near pairs of distinct texts (``fold_copies`` lists the records of each)."""
     return P.pair_distances(_counts(spark, sf), 0.2).select("i", "j", "total", F.round("d", 6).alias("d"))
 
 

@@ -26,18 +26,21 @@ cov AS (SELECT DISTINCT name, p FROM (SELECT name, unnest(range(s, e)) AS p FROM
 b AS (SELECT name, p, substr(t, (p % 256)::INT + 1, 1) AS ch FROM (SELECT name, t0, t, unnest(range(t0, t0 + length(t))) AS p FROM
  (SELECT name, t0, substr(seq, t0 + 1, 256) AS t FROM (SELECT name, seq, unnest(range(0, length(seq), 256)) AS t0 FROM seqs))))
 SELECT b.name, md5(string_agg(CASE WHEN cov.p IS NULL THEN lower(ch) ELSE upper(ch) END, '' ORDER BY b.p)) AS digest
-FROM b LEFT JOIN cov ON cov.name = b.name AND cov.p = b.p GROUP BY b.name""")
+FROM b LEFT JOIN cov ON cov.name = b.name AND cov.p = b.p GROUP BY b.name
+UNION ALL SELECT name, md5('') FROM seqs WHERE seq = ''""")
 def mask_by_kmers(spark, sf):
     out = K.mask_by_kmers(A.sequences(spark, sf), doc_hits(spark, sf), _informative(spark, sf))
-    return out.where("seq <> ''").select("name", F.md5("seq").alias("digest"))
+    return out.select("name", F.md5("seq").alias("digest"))
 
 
-@query(f"""WITH {DOC_HITS}, {_LIST}, f AS (SELECT name, pos + 30 AS p FROM hits WHERE kmer IN (SELECT kmer FROM list))
-SELECT name, count(*) AS marked FROM f GROUP BY name""")
+@query(f"""WITH {DOC_HITS}, {_LIST}, f AS (SELECT DISTINCT name, pos + 30 AS p FROM hits WHERE kmer IN (SELECT kmer FROM list)),
+b AS (SELECT name, p, substr(t, (p % 256)::INT + 1, 1) AS ch FROM (SELECT name, t0, t, unnest(range(t0, t0 + length(t))) AS p FROM
+ (SELECT name, t0, substr(seq, t0 + 1, 256) AS t FROM (SELECT name, seq, unnest(range(0, length(seq), 256)) AS t0 FROM seqs))))
+SELECT b.name, md5(string_agg(CASE WHEN f.p IS NULL THEN lower(ch) ELSE upper(ch) END, '' ORDER BY b.p)) AS digest
+FROM b LEFT JOIN f ON f.name = b.name AND f.p = b.p GROUP BY b.name UNION ALL SELECT name, md5('') FROM seqs WHERE seq = ''""")
 def mark_last_bases(spark, sf):
     out = K.mark_last_bases(A.sequences(spark, sf), doc_hits(spark, sf), _informative(spark, sf))
-    marked = F.length(F.regexp_replace("seq", "[^A-Z]", "")).cast("bigint")
-    return out.select("name", marked.alias("marked")).where("marked > 0")
+    return out.select("name", F.md5("seq").alias("digest"))
 
 
 def _compiled(spark, sf):
@@ -75,8 +78,8 @@ def matrix_in_tree_order(spark, sf):
     return CP.reordered(made.norm, made.merges(), made.members)
 
 
-def _exon_tables(spark, sf):
-    """Exon hits on every customer, and the exons of each brand as one transcript."""
+def _exon_hits(spark, sf):
+    """Exon hits on every customer."""
     day = A.day_number("l_shipdate")
     qty = F.col("l_quantity").cast("bigint")
     lines = A.table(spark, sf, "lineitem").join(A.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -85,16 +88,19 @@ def _exon_tables(spark, sf):
         (day * 10).alias("start"), (day * 10 + qty * 10).alias("end"),
         F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
         (qty * 10 - F.round(F.col("l_discount") * 100).cast("bigint")).alias("match"))
-    part = A.table(spark, sf, "part")
-    exons = part.select(F.col("p_partkey").alias("exon"), F.col("p_brand").alias("transcript"), F.col("p_size").alias("number"),
-                        F.substring("p_brand", 1, 7).alias("gene"),
-                        F.when(F.col("p_brand").endswith("1"), "protein_coding").otherwise("lncRNA").alias("kind"))
-    return hits, exons
+    return hits
 
 
-@query()
+@query("""WITH h AS (SELECT o_custkey AS allele, l_partkey AS exon, l_quantity::BIGINT * 10 AS size, date_diff('day', DATE '1992-01-01', l_shipdate::DATE) * 10 AS s,
+ CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_quantity::BIGINT * 10 - round(l_discount * 100)::BIGINT AS match FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+o AS (SELECT *, s + size AS e, match / size AS r FROM h WHERE size >= least(100.0, size * 0.5)
+ QUALIFY row_number() OVER (PARTITION BY allele, exon, s, s + size ORDER BY match / size DESC, match DESC, strand DESC) = 1),
+l AS (SELECT allele, exon, list({'s': s, 'e': e, 'size': size, 'strand': strand, 'match': match} ORDER BY -r, s, e, size, strand, match) AS hs FROM o GROUP BY 1, 2),
+k AS (SELECT allele, exon, unnest(list_reduce(list_transform(hs, lambda x: [x]), lambda acc, x:
+ CASE WHEN len(list_filter(acc, lambda y: least(y.e, x[1].e) > greatest(y.s, x[1].s))) > 0 THEN acc ELSE list_concat(acc, x) END)) AS x FROM l)
+SELECT allele, exon, x.size AS size, x.s AS start, x.e AS "end", x.strand AS strand, x.match AS match FROM k""")
 def exon_hits(spark, sf):
-    return G.best_exon_hits(_exon_tables(spark, sf)[0])
+    return G.best_exon_hits(_exon_hits(spark, sf))
 
 
 def _nearest(spark, sf):
