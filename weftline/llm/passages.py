@@ -1,8 +1,8 @@
 """Repeated passages across documents: paragraph MinHash banding with exact confirmation.
 
 Lines of at least ``min_words`` words are paragraphs.  The number of bands follows from
-the wanted recall at the threshold.  Equal paragraphs are folded first; paragraphs sharing a
-band key are joined through hubs and bounded cells (see ``crowds``) and confirmed by the exact Jaccard
+the wanted recall at the threshold.  Equal paragraphs are folded first (by a 64-bit digest of
+their set); paragraphs sharing a band key are joined through hubs and bounded cells (see ``crowds``) and confirmed by the exact Jaccard
 similarity of their sets of word shingles.  Components of the links are clusters.
 In each cluster that reaches over two or more documents, the first paragraph
 (smallest document, then position) stays and the others are removed.
@@ -22,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.crowds import classes, comparable, lists, stars
-from weftline.llm.shingles import MinHash, WordHashes, shingle_set
+from weftline.llm.shingles import MinHash, WordHashes, shingle_set, windows
 from weftline.llm.text import mix64, utf8_rows
 from weftline.session import cut
 
 MIN_WORDS = 25
-ROWS = 3
-_SECOND = np.uint64(0xD6E8FEB86659FD93)
+# Unrelated paragraphs share no shingles, so two minima per band are enough to keep them apart.
+ROWS = 2
+CHUNK_WORDS = 1 << 19
+_ITEM_BITS = np.uint64(44)
+_ITEM = np.uint64((1 << 44) - 1)
 
 
 def bands_for(percent: int, recall: float, rows: int = ROWS) -> int:
@@ -45,34 +48,58 @@ def _paragraphs(words: WordHashes, raw: bytes | None, min_words: int) -> Iterato
                 yield at, hashes
 
 
+def _sketch(hashes: list[np.ndarray], width: int, hasher: MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Set size, set digest and band keys of many paragraphs (each of ``width`` words or more) at once."""
+    size = np.fromiter(map(len, hashes), np.int64, len(hashes))
+    grams = windows(np.concatenate(hashes), width)
+    ends = np.cumsum(size)
+    inside = np.ones(ends[-1], bool)
+    for i in range(1, width):
+        inside[ends - i] = False
+    owner = np.repeat(np.arange(len(hashes), dtype=np.uint64), size - width + 1)
+    # Owner and 44 bits of the shingle in one word: one plain sort brings equal shingles together.
+    packed = np.sort((owner << _ITEM_BITS) | (grams[inside[:len(grams)]] >> np.uint64(20)))
+    packed = packed[np.concatenate(([True], packed[1:] != packed[:-1]))]
+    owner, item = packed >> _ITEM_BITS, mix64(packed & _ITEM)
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    digest = np.add.reduceat(mix64(item + np.uint64(1)), starts)
+    bands = []
+    for lane in range(0, len(hasher.mul), ROWS):
+        key = np.full(len(starts), lane + 1, np.uint64)
+        for i in range(lane, lane + ROWS):
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(item * hasher.mul[i] + hasher.add[i], starts))
+        bands.append(key)
+    return np.diff(np.append(starts, len(packed))), digest, np.stack(bands)
+
+
 def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int, min_words: int, recall: float) -> DataFrame:
-    """``doc, pos, n_words, n, k1, k2, bands`` of every paragraph."""
-    bands = bands_for(percent, recall)
+    """``doc, pos, n_words, id, n, b0..``: set digest, set size and band keys of every paragraph."""
+    count = bands_for(percent, recall)
+    names = ["doc", "pos", "n_words", "id", "n", *[f"b{i}" for i in range(count)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hasher = WordHashes(), MinHash(bands * ROWS)
+        words, hasher = WordHashes(), MinHash(count * ROWS)
+        doc, pos, held, total = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            n, digest, bands = _sketch(held, width, hasher)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(list(map(len, held)), pa.int64()),
+                 pa.array(digest.view(np.int64)), pa.array(n, pa.int64()), *[pa.array(b.view(np.int64)) for b in bands]], names)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            doc, pos, n_words, n, k1, k2, keys = [], [], [], [], [], [], []
-            for id_, raw in zip(ids, utf8_rows(batch.column(1))):
+            for id_, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
                 for at, hashes in _paragraphs(words, raw, min_words):
-                    items = shingle_set(hashes, width)
                     doc.append(id_)
                     pos.append(at)
-                    n_words.append(len(hashes))
-                    n.append(len(items))
-                    k1.append(mix64(items).sum(dtype=np.uint64))
-                    k2.append(mix64(items ^ _SECOND).sum(dtype=np.uint64))
-                    key = np.arange(1, bands + 1, dtype=np.uint64)
-                    for column in hasher.minima(items).reshape(bands, ROWS).T:
-                        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                    keys.append(key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(n_words, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(np.array(k1, np.uint64).view(np.int64)), pa.array(np.array(k2, np.uint64).view(np.int64)),
-                 lists(keys)], ["doc", "pos", "n_words", "n", "k1", "k2", "bands"])
+                    held.append(hashes)
+                    total += len(hashes)
+                if total > CHUNK_WORDS:
+                    yield flush()
+                    doc, pos, held, total = [], [], [], 0
+        if held:
+            yield flush()
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
-        run, "doc bigint, pos int, n_words bigint, n bigint, k1 bigint, k2 bigint, bands array<bigint>")
+        run, "doc bigint, pos int, n_words bigint, id bigint, n bigint, " + ", ".join(f"b{i} bigint" for i in range(count)))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int, min_words: int) -> DataFrame:
@@ -101,16 +128,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     ``doc, pos, n_words, first_doc, first_pos, n_docs, removed``: the first paragraph of the
     cluster, its number of documents, and whether this paragraph goes.
     """
+    if min_words < width:
+        raise ValueError("a paragraph must hold at least one whole shingle")
     sketched = cut(sketches(docs, id_col, text, percent, width, min_words, recall))
-    folded = cut(sketched.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "pos", "bands")).alias("rep"))
-                 .select("k1", "k2", "n", "rep.*").withColumn("id", F.monotonically_increasing_id()))
+    bands = [c for c in sketched.columns if c[0] == "b"]
+    folded = cut(sketched.groupBy("id").agg(F.first("n").alias("n"), *[F.first(b).alias(b) for b in bands])
+                 .select("id", "n", F.array(*bands).alias("bands")))
     met = cut(stars(folded))
     pairs = cut(comparable(met, folded.select("id", "n"), percent))
-    wanted = folded.select("id", "doc", "pos").join(met.select("id").distinct(), "id", "left_semi")
+    # One place per set that needs a comparison.
+    wanted = (sketched.select("id", "doc", "pos").join(met.select("id").distinct(), "id", "left_semi")
+              .groupBy("id").agg(F.min(F.struct("doc", "pos")).alias("at")).select("id", "at.doc", "at.pos"))
     sets = cut(full_sets(docs, wanted, id_col, text, width, min_words).dropDuplicates(["id"]))
-    found = classes(folded, met, pairs, sets, percent)
-    by_set = cut(folded.select("k1", "k2", "n", "id").join(found, "id").drop("id"))
-    members = cut(sketched.drop("bands").join(by_set, ["k1", "k2", "n"]).select("doc", "pos", "n_words", "component"))
+    found = cut(classes(folded, met, pairs, sets, percent))
+    members = cut(sketched.select("doc", "pos", "n_words", "id").join(found, "id").drop("id"))
     # Distinct documents per cluster, counted on (cluster, document) rows: no list per cluster.
     clusters = (members.groupBy("component", "doc").agg(F.min("pos").alias("pos")).groupBy("component")
                 .agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1"))

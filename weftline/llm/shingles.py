@@ -13,7 +13,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """Hash of a word, remembered for the words of the last few batches."""
 
-    MOST = 1 << 20
+    MOST = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
