@@ -74,7 +74,7 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
 def copies(rate: Column, key: Column, seed: int) -> Column:
     """Whole part of the rate, plus one with the probability of the fraction."""
     whole = F.floor(rate)
-    return (whole + F.when(unit_hash(F.lit(seed), key) < rate - whole, 1).otherwise(0)).cast("bigint")
+    return (whole + F.when(unit_hash(seed, key) < rate - whole, 1).otherwise(0)).cast("bigint")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -78,7 +78,7 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return applied.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-TARGETS_SQL = """
+@query("""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 sources AS (
@@ -92,16 +92,18 @@ levels(step, rest, weights) AS (
     SELECT coalesce(sum(3 * source_size) FILTER (3 * source_size * l.weights <= l.rest * weight), 0)::BIGINT AS o,
            coalesce(sum(weight) FILTER (NOT 3 * source_size * l.weights <= l.rest * weight), 0)::BIGINT AS u FROM sources) s
   WHERE s.u > 0 AND (s.u <> l.weights OR (SELECT t FROM total) - s.o <> l.rest)),
-level AS (SELECT rest, weights FROM levels ORDER BY step DESC LIMIT 1)
-SELECT doc_id, size, source_size,
-       CASE WHEN 3 * source_size * weights <= rest * weight THEN (3 * source_size)::DOUBLE
-            ELSE rest::DOUBLE * weight::DOUBLE / weights::DOUBLE END AS target
-FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source, level"""
-
-
-@query()
+level AS (SELECT rest, weights FROM levels ORDER BY step DESC LIMIT 1),
+targets AS (
+  SELECT source, source_size, CASE WHEN 3 * source_size * weights <= rest * weight THEN (3 * source_size)::DOUBLE
+         ELSE rest::DOUBLE * weight::DOUBLE / weights::DOUBLE END AS target FROM sources, level),
+rated AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, source_size, target,
+       size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken FROM rated""")
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """Size, source target and words taken of every document (``TARGETS_SQL`` checks all but ``taken``)."""
+    """Size, source target and words taken of every document."""
     planned = mixing.plan_copies(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 

@@ -26,9 +26,10 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, UPPER.lower()))
 
 
-def unit_hash(*cols: Column) -> Column:
-    """A number in [0, 1) that depends on the values of ``cols`` only."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(1 << 53))
+def unit_hash(seed: int, key: Column) -> Column:
+    """A number in [0, 1) from 52 bits of the MD5 of seed and key."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
