@@ -9,6 +9,7 @@ from catalogue.fragments import DOC_HITS, SEQS, TARGETS, TARGET_HITS
 from weftline import adapters as A
 from weftline.functions import sequence as S
 from weftline.operators import intervals as I, kmers as K
+from weftline.session import cut
 
 
 def doc_hits(spark: SparkSession, sf: str, *ids: str) -> DataFrame:
@@ -212,19 +213,26 @@ def _informative(spark, sf):
     ).where("lo = hi AND n > 1").select("kmer")
 
 
+def _listed(spark, sf):
+    """The informative k-mers and their hits: two scans, whatever reads them later."""
+    kmers = cut(_informative(spark, sf))
+    return kmers, cut(K.found_kmers(doc_hits(spark, sf), kmers))
+
+
 @query(f"""WITH {_TRIMMED} SELECT name, len::BIGINT AS len,
 (CASE WHEN state = 'trim' THEN rest ELSE n END)::BIGINT AS count,
 (CASE WHEN decision = 'trim' THEN a ELSE 0 END)::BIGINT AS start,
 (CASE WHEN decision = 'trim' THEN z ELSE 0 END)::BIGINT AS "end", decision FROM dec""")
 def trim_by_kmer(spark, sf):
-    return K.trim_by_kmers(A.sequences(spark, sf), doc_hits(spark, sf), _informative(spark, sf), **_TRIM)
+    kmers, hits = _listed(spark, sf)
+    return K.trim_by_kmers(A.sequences(spark, sf), hits, kmers, **_TRIM)
 
 
 @query(f"""WITH {_TRIMMED}, gone AS (SELECT kmer FROM found JOIN dec USING (name) WHERE decision <> 'pass'
 AND (decision = 'filter' OR pos < a OR pos >= len - 30 - z))
 SELECT count(*) AS n, min(kmer) AS first, max(kmer) AS last FROM list WHERE kmer NOT IN (SELECT kmer FROM gone)""")
 def trim_surviving_kmers(spark, sf):
-    hits, kmers = doc_hits(spark, sf), _informative(spark, sf)
+    kmers, hits = _listed(spark, sf)
     decisions = K.trim_by_kmers(A.sequences(spark, sf), hits, kmers, **_TRIM)
     left = K.surviving_kmers(kmers, hits, decisions)
     out = left.agg(F.count(F.lit(1)).alias("n"), F.min("kmer").alias("lo"), F.max("kmer").alias("hi"))

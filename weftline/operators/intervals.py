@@ -101,8 +101,8 @@ def range_join(left: DataFrame, right: DataFrame, keys: Sequence[str], width: in
     """All overlapping pairs, as an equi-join on (keys, bin).
 
     A pair is kept in the one bin where the later of the two starts.  Bins
-    holding more than ``hot`` left rows are split over salts and the right rows
-    of just those bins are repeated, so one crowded place is many tasks.  With
+    holding more than ``hot`` rows of a side are split over salts of that side and the other
+    side's rows of just those bins are repeated, so one crowded place is many tasks.  With
     ``touch`` a left row ending where a right row starts also matches.
     """
     keys = list(keys)
@@ -113,21 +113,24 @@ def range_join(left: DataFrame, right: DataFrame, keys: Sequence[str], width: in
         F.floor(F.col(ls) / width), F.floor((F.col(le) - reach) / width))))
     rb = right.where(F.col(re_) > F.col(rs)).withColumn("_bin", F.explode(F.sequence(
         F.floor(F.col(rs) / width), F.floor((F.col(re_) - 1) / width))))
-    crowded = (
-        lb.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot)
-        .select(*keys, "_bin", F.ceil(F.col("_n") / hot).cast("int").alias("_salts"))
-    )
-    one = F.coalesce("_salts", F.lit(1))
-    stamp = F.xxhash64(*[F.col(c) for c in left.columns])
-    lb = lb.join(crowded, [*keys, "_bin"], "left").withColumn(
-        "_salt", F.pmod(stamp, one).cast("int")).drop("_salts")
-    rb = rb.join(crowded, [*keys, "_bin"], "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_salts")
+    def salts(rows: DataFrame, out: str) -> DataFrame:
+        return (rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
+                .select(*keys, "_bin", F.ceil(F.col("_n") / hot).cast("int").alias(out)))
+
+    crowded = salts(lb, "_ls").join(salts(rb, "_rs"), [*keys, "_bin"], "full_outer")
+    mine, theirs = F.coalesce("_ls", F.lit(1)), F.coalesce("_rs", F.lit(1))
+
+    def dealt(rows: DataFrame, own: Column, other: Column, at: str, over: str) -> DataFrame:
+        """Each row at one of its side's salts, repeated over the salts of the other side."""
+        stamp = F.xxhash64(*[F.col(c) for c in rows.columns])
+        return (rows.withColumn(at, stamp).join(crowded, [*keys, "_bin"], "left")
+                .withColumn(at, F.pmod(F.col(at), own).cast("int"))
+                .withColumn(over, F.explode(F.sequence(F.lit(0), other - 1))).drop("_ls", "_rs"))
+    lb, rb = dealt(lb, mine, theirs, "_a", "_b"), dealt(rb, theirs, mine, "_b", "_a")
     overlap = (F.col(ls) < F.col(re_)) & (
         (F.col(rs) <= F.col(le)) if touch else (F.col(rs) < F.col(le)))
     owner = F.col("_bin") == F.floor(F.greatest(F.col(ls), F.col(rs)) / width)
-    return lb.join(rb, [*keys, "_bin", "_salt"]).where(overlap & owner).drop("_bin", "_salt")
+    return lb.join(rb, [*keys, "_bin", "_a", "_b"]).where(overlap & owner).drop("_bin", "_a", "_b")
 
 
 def overlaps_any(left: DataFrame, right: DataFrame, keys: Sequence[str],
