@@ -52,7 +52,7 @@ def test_mix_repeats_rows(spark):
     docs = docs_of(spark)
     copies = {r.doc_id: r.copies for r in M.plan_copies(docs).collect()}
     mixed = M.mix(docs)
-    assert mixed.columns == docs.columns
+    assert mixed.columns == docs.columns and {r["size"] for r in mixed.collect()} == {"x"}
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({d: c for d, c in copies.items() if c})
 
 

@@ -221,6 +221,6 @@ def find_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id",
 
 
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold none of the passages."""
+    """The documents that hold none of the passages; one without an id cannot be named, and stays."""
     dirty = find_passages(docs, passages, id_col, **options).select(id_col).distinct()
     return docs.join(dirty, id_col, "left_anti").select(docs.columns)

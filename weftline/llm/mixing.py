@@ -15,7 +15,7 @@ whatever means its written size allows.
 Defined cases: null text has size 0; a null source is a source of its own, last
 in order; sources without words have target 0 and rate 0, their documents are taken zero
 times; equal rows get the same number; an empty table gives an empty result.
-Columns of the input named like an output column are replaced.
+``plan_copies`` replaces columns of the input named like one of its own; ``mix`` keeps them.
 """
 
 from __future__ import annotations
@@ -77,7 +77,9 @@ def copies(rate: Column, key: Column, seed: int) -> Column:
     return (whole + F.when(unit_hash(seed, key) < rate - whole, 1).otherwise(0)).cast("bigint")
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed collection: ``docs`` with every document repeated as planned."""
-    planned = plan_copies(docs, **options)
-    return planned.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(docs.columns)
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mixed collection: rows of ``docs``, each repeated as planned and otherwise untouched."""
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    planned = plan_copies(docs.select(whole, docs[id_col].alias("_id"), docs[text].alias("_text"), docs[source].alias("_from")),
+                          "_id", "_text", "_from", **options)
+    return planned.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_row.*")
