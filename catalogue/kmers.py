@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue import query
-from catalogue.fragments import DOC_HITS, SEQS, TARGETS, TARGET_HITS
+from catalogue.fragments import DOC_HITS, SEQS, TARGET_HITS
 from weftline import adapters as A
 from weftline.functions import sequence as S
 from weftline.operators import intervals as I, kmers as K

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weftline.functions import sequence as S
 from weftline.operators.scan import prefix_scan
 from weftline.session import cut, parallelism
 
