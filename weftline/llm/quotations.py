@@ -21,6 +21,8 @@ back without links or position; other columns are not read; an empty table gives
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.operators.scan import prefix_scan
@@ -105,13 +107,20 @@ def reply_order(nodes: DataFrame) -> DataFrame:
                        F.lit(1).cast("bigint").alias("ahead"), F.lit(1).cast("bigint").alias("rise"))
     up = full.select("conv", (F.col("turn") * 2 + 1).alias("step"), F.coalesce(F.col("sibling") * 2, F.col("reply_to") * 2 + 1).alias("next"),
                      F.lit(0).cast("bigint").alias("ahead"), F.lit(-1).cast("bigint").alias("rise"))
-    walk = cut(down.unionByName(up))
-    while not walk.where("next IS NOT NULL").isEmpty():
-        beyond = walk.select("conv", F.col("step").alias("next"), F.col("next").alias("then"), F.col("ahead").alias("more"),
-                             F.col("rise").alias("more_rise"))
-        walk = cut(walk.join(beyond, ["conv", "next"], "left").select(
-            "conv", "step", F.col("then").alias("next"), (F.col("ahead") + F.coalesce("more", F.lit(0))).alias("ahead"),
-            (F.col("rise") + F.coalesce("more_rise", F.lit(0))).alias("rise")))
+    active, finished = cut(down.unionByName(up)), []
+    while True:
+        # Steps that have reached the end of the tour are joined no more; short threads end soon.
+        finished.append(active.where("next IS NULL"))
+        going = active.where("next IS NOT NULL")
+        if going.isEmpty():
+            break
+        known = reduce(DataFrame.unionByName, finished, going)
+        beyond = known.select("conv", F.col("step").alias("next"), F.col("next").alias("then"), F.col("ahead").alias("more"),
+                              F.col("rise").alias("more_rise"))
+        active = cut(going.join(beyond, ["conv", "next"]).select(
+            "conv", "step", F.col("then").alias("next"), (F.col("ahead") + F.col("more")).alias("ahead"),
+            (F.col("rise") + F.col("more_rise")).alias("rise")))
+    walk = reduce(DataFrame.unionByName, finished)
     sizes = nodes.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
     return walk.where("step % 2 = 0").join(sizes, "conv").select(
         "conv", F.expr("step div 2").alias("turn"), (F.col("n") - F.col("ahead")).alias("position"), (-F.col("rise")).alias("depth"))
