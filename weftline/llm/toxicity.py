@@ -66,17 +66,6 @@ def words_of(text: str | None) -> set[str]:
     return found
 
 
-def evidence(pos: np.ndarray, neg: np.ndarray, total_pos: int, total_neg: int) -> np.ndarray:
-    """Signed log-likelihood ratio of a feature's counts against independence of the class."""
-    n = pos + neg
-    base = total_pos / max(1, total_pos + total_neg)
-    expected_pos, expected_neg = n * base, n * (1 - base)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (np.where(pos > 0, pos * np.log(pos / expected_pos), 0)
-                     + np.where(neg > 0, neg * np.log(neg / expected_neg), 0))
-    return np.where(pos >= expected_pos, ratio, -ratio)
-
-
 @dataclass
 class Model:
     #: Feature to its number; weights and the voters that a feature makes fire.
