@@ -126,9 +126,11 @@ def classes(folded: DataFrame, met: DataFrame, pairs: DataFrame, sets: DataFrame
     ``sets`` has the full ``items`` of every id in ``met``.
     """
     links = cut(_confirm(pairs, sets, percent))
-    labels = cut(connected_components(links, "hub", "id").select(
-        F.col("node").alias("id"), F.col("component").alias("label")))
-    more = cut(_within_crowds(met, labels, sets, folded.select("id", "n"), percent))
-    joined = connected_components(more).select(F.col("node").alias("label"), "component")
-    return (folded.select("id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-            .join(joined, "label", "left").select("id", F.coalesce("component", "label").alias("component")))
+    # One step towards the smallest confirmed hub is enough to skip what is surely joined;
+    # a pair whose classes are not known to be one yet is only compared once more.
+    labels = cut(links.select("id", "hub").unionByName(links.select(F.col("hub").alias("id"), "hub"))
+                 .groupBy("id").agg(F.min("hub").alias("label")))
+    more = _within_crowds(met, labels, sets, folded.select("id", "n"), percent)
+    edges = links.select(F.col("hub").alias("i"), F.col("id").alias("j")).unionByName(more)
+    found = connected_components(edges).select(F.col("node").alias("id"), "component")
+    return folded.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
