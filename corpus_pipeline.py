@@ -15,6 +15,9 @@ from weftline.llm import decontaminate, mixing, near_dup, sharding, toxicity
 from weftline.llm.queries import SHARDS, SLOTS, table
 from weftline.session import shared_folder
 
+# The rule for stages, over word shingles of five; op8 has a threshold of its own.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -26,7 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group of near-duplicates."""
-    later = near_dup.near_duplicates(docs).where("id <> component").select(F.col("id").alias("doc_id")).distinct()
+    later = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
+    later = later.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(later, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -14,7 +14,7 @@
 5. Components of all links give every document its class.
 
 With 20 bands of 4 minima a pair at the threshold 0.85 is missed with probability
-4e-7; nothing else is approximate, and no bucket, crowd or candidate is capped.
+4e-7, one at 0.8 with 3e-5; nothing else is approximate, and no bucket, crowd or candidate is capped.
 
 Defined cases: A-Z are lower-cased; words are separated by blanks; with
 fewer words than ``width`` the whole sequence is the one shingle; null, empty and blank texts
