@@ -85,3 +85,37 @@ def test_removal_and_empty(spark):
     kept = {r.doc_id: (r.text, r.pos) for r in P.without_repeats(docs, found).collect()}
     assert kept == {1: (same + "\nshort", "a"), 2: ("x", "b"), 3: (None, None)}
     assert P.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_runs_in_long_and_wrapped_lines(spark):
+    rng = random.Random(11)
+    shared = line(rng, 60).split()
+    lead, long_ = line(rng, 900), line(rng, 1040)
+    wrapped = "\n".join(" ".join(shared[i:i + 12]) for i in range(0, 60, 12))
+    across = f"{line(rng, 40)} {' '.join(shared[:30])}\n{' '.join(shared[30:])} {line(rng, 40)}"
+    docs = [(1, f"{lead} {' '.join(shared).upper()} {long_}"), (2, "a b\n" + wrapped + "\nc d"), (3, across),
+            (4, line(rng, 300) + " " + " ".join(shared[:24])), (5, None), (None, wrapped), (2, "a b\n" + wrapped + "\nc d")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert P.repeated_passages(frame).count() == 0
+    found = P.repeats(frame)
+    assert {tuple(r) for r in found.collect()} == {
+        (1, 0, 60, 1, 0, 3, False, 900), (2, 1, 60, 1, 0, 3, True, 2), (3, 0, 60, 1, 0, 3, True, 40)}
+    kept = P.without_repeats(frame, found).collect()
+    assert sorted(r.text.split() for r in kept if r.doc_id == 2) == [["a", "b", "c", "d"]] * 2
+    assert {r.text for r in kept if r.doc_id in (1, 4, 5, None)} == {t for d, t in docs if d in (1, 4, 5, None)}
+    assert [r.text.split() for r in kept if r.doc_id == 3] == [across.split()[:40] + across.split()[100:]]
+    assert P.repeats(frame.limit(0)).count() == 0
+
+
+def test_every_shared_run_is_found(spark):
+    rng = random.Random(12)
+    least = P.RUN_WORDS + P.RUN_WINDOW - 1
+    docs, want = [], set()
+    for d in range(0, 300, 3):
+        shared = line(rng, rng.randint(least, 90))
+        for i in range(3):
+            n, m = rng.randint(0, 80), rng.randint(0, 80)
+            docs.append((d + i, f"{line(rng, n)} x{d + i} {shared} y{d + i} {line(rng, m)}"))
+            want.add((d + i, n + 1, len(shared.split()), d, 3, i > 0))
+    found = P.repeated_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc, r.word, r.n_words, r.first_doc, r.n_docs, r.removed) for r in found} == want

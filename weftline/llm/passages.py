@@ -7,6 +7,13 @@ similarity of their sets of word shingles.  Components of the links are clusters
 In each cluster that reaches over two or more documents, the first paragraph
 (smallest document, then position) stays and the others are removed.
 
+Runs of words are found apart from lines (``repeated_runs``): of the hashes of all
+``RUN_WORDS`` words in a row, the smallest of every ``RUN_WINDOW`` in a row is kept.  The choice
+depends on the words alone, so a run of ``RUN_WORDS + RUN_WINDOW - 1`` words or more that two documents
+share, whatever its lines, has a hash that both keep.  Equal hashes are matched with their
+first place; matches in step with each other are chained and then extended, word by word,
+on both sides.
+
 Defined cases: null, empty and short texts have no paragraphs; null ids take no part;
 rows with one id count as one document, equal (id, position) rows once; an empty
 table gives an empty result; other columns are not read.
@@ -15,11 +22,12 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weftline.llm.crowds import classes, comparable, lists, stars
 from weftline.llm.shingles import MinHash, WordHashes, shingle_set, windows
@@ -27,6 +35,8 @@ from weftline.llm.text import mix64, utf8_rows
 from weftline.session import cut
 
 MIN_WORDS = 25
+# Every shared run of 48 words or more is found, and none of less than 25 is reported.
+RUN_WORDS, RUN_WINDOW = 25, 24
 # Unrelated paragraphs share no shingles, so two minima per band are enough to keep them apart.
 ROWS = 2
 CHUNK_WORDS = 1 << 19
@@ -150,8 +160,176 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         ((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos"))).alias("removed")).distinct()
 
 
+def _selected(grams: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the smallest of every ``window`` values in a row (of all, if they are fewer)."""
+    spans = np.lib.stride_tricks.sliding_window_view(grams, min(window, len(grams)))
+    at = spans.argmin(axis=1) + np.arange(len(spans))
+    return at[np.concatenate(([True], at[1:] != at[:-1]))]
+
+
+def selected_grams(docs: DataFrame, id_col: str, text: str, width: int, window: int) -> DataFrame:
+    """``doc, word, gram``: the selected hashes of ``width`` words in a row, and the number of the first word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            doc, at, grams = [], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            for id_, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
+                hashes = words.of(raw)
+                if len(hashes) >= width:
+                    all_ = windows(hashes, width)
+                    at.append(_selected(all_, window))
+                    grams.append(all_[at[-1]])
+                    doc.append(np.full(len(at[-1]), id_, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.empty(0, np.int64), *doc])), pa.array(np.concatenate(at).astype(np.int32)),
+                 pa.array(np.concatenate(grams).view(np.int64))], ["doc", "word", "gram"])
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
+        run, "doc bigint, word int, gram bigint")
+
+
+def _chains(matched: DataFrame, width: int) -> DataFrame:
+    """``doc, a, b, first_doc, fa, fb, n_docs``: words a to b - 1 of a document equal words fa to fb - 1 of the first."""
+    names = ["doc", "a", "b", "first_doc", "fa", "fb", "n_docs"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held: dict[tuple[int, int], list[int]] = {}
+                for m in sorted(marks, key=lambda m: m["word"]):
+                    at, key = m["word"], (m["first_doc"], m["word"] - m["first_word"])
+                    row = held.get(key)
+                    if row is not None and at <= row[2]:
+                        row[2], row[5] = at + width, m["first_word"] + width
+                        row[6] = max(row[6], m["n_docs"])
+                    else:
+                        held[key] = row = [doc, at, at + width, key[0], m["first_word"], m["first_word"] + width, m["n_docs"]]
+                        rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+    return matched.groupBy("doc").agg(F.collect_set(F.struct("word", "first_doc", "first_word", "n_docs")).alias("marks")).mapInArrow(
+        run, "doc bigint, a int, b int, first_doc bigint, fa int, fb int, n_docs bigint")
+
+
+def _sides(spans: DataFrame, docs: DataFrame, id_col: str, text: str, reach: int) -> DataFrame:
+    """``doc, a, b`` with the hashes of up to ``reach`` words before (nearest first) and after, and the
+    lines of the words from a backwards."""
+    per_doc = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    joined = per_doc.join(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text).alias("text")), "doc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            rows, before, after, lines = [], [], [], []
+            for doc, marks, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8_rows(batch.column(2))):
+                parts = [words.of(line) for line in raw.split(b"\n")] if raw else []
+                hashes = np.concatenate([np.empty(0, np.uint64), *parts])
+                line = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                for m in marks:
+                    a, b = m["a"], m["b"]
+                    if b > len(hashes):
+                        continue  # a span of another row with this id
+                    low = max(0, a - reach)
+                    rows.append((doc, a, b))
+                    before.append(hashes[low:a][::-1])
+                    after.append(hashes[b:b + reach])
+                    lines.append(line[low:a + 1][::-1].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.int32()) for i in (1, 2)],
+                 lists(before), lists(after), lists(lines)], ["doc", "a", "b", "before", "after", "lines"])
+    return joined.select("doc", "spans", "text").mapInArrow(
+        run, "doc bigint, a int, b int, before array<bigint>, after array<bigint>, lines array<bigint>").dropDuplicates(["doc", "a", "b"])
+
+
+def _alike(left: str, right: str) -> F.Column:
+    """Number of leading elements that two arrays have in common."""
+    same = F.zip_with(left, right, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    differ = F.array_position(same, False)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(same)).cast("int")
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = RUN_WORDS,
+                  window: int = RUN_WINDOW) -> DataFrame:
+    """Runs of equal words that several documents hold, in lines of any length.
+
+    ``doc, pos, n_words, first_doc, first_pos, n_docs, removed, word``: the line and the number of the
+    run's first word, and the first document and line with these words.  The words of
+    a removed run stay in the first document only, whose own row is not removed.
+    """
+    grams = cut(selected_grams(docs, id_col, text, width, window))
+    # Most hashes occur in one document: they leave before anything is counted by document.
+    shared = grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("gram")
+    held = cut(grams.join(shared, "gram"))
+    firsts = (held.groupBy("gram", "doc").agg(F.min("word").alias("word")).groupBy("gram")
+              .agg(F.min(F.struct("doc", "word")).alias("first"), F.count(F.lit(1)).alias("n_docs")))
+    matched = (held.join(firsts, "gram").where((F.col("doc") != F.col("first.doc")) | (F.col("word") != F.col("first.word")))
+               .select("doc", "word", F.col("first.doc").alias("first_doc"), F.col("first.word").alias("first_word"), "n_docs"))
+    chains = cut(_chains(matched, width))
+    first = [F.col("first_doc").alias("doc"), F.col("fa").alias("a"), F.col("fb").alias("b")]
+    # A hash lies within a window of the end of its run.
+    sides = cut(_sides(chains.select("doc", "a", "b").unionByName(chains.select(*first)), docs, id_col, text, window))
+    theirs = sides.select(F.col("doc").alias("first_doc"), F.col("a").alias("fa"), F.col("b").alias("fb"),
+                          *[F.col(c).alias(f"first_{c}") for c in ("before", "after", "lines")])
+    grown = (chains.join(sides, ["doc", "a", "b"]).join(theirs, ["first_doc", "fa", "fb"])
+             .withColumn("left", _alike("before", "first_before")).withColumn("right", _alike("after", "first_after")))
+    found = grown.select(
+        "doc", F.get("lines", F.col("left")).cast("int").alias("pos"),
+        (F.col("b") - F.col("a") + F.col("left") + F.col("right")).cast("bigint").alias("n_words"), "first_doc",
+        F.get("first_lines", F.col("left")).cast("int").alias("first_pos"), "n_docs", F.lit(True).alias("removed"),
+        (F.col("a") - F.col("left")).alias("word"), (F.col("fa") - F.col("left")).alias("first_word")).distinct()
+    # Near the ends of a run, hashes may be kept by some documents only: these give the run, or a part of it, again.
+    end = F.col("word") + F.col("n_words")
+    earlier = Window.partitionBy("doc").orderBy("word", end.desc(), "first_doc", "first_word", F.col("n_docs").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    rows = cut(found.withColumn("_reach", F.max(end).over(earlier)).where(F.coalesce(F.col("_reach") < end, F.lit(True))).drop("_reach"))
+    kept = rows.groupBy("first_doc", "first_pos", "first_word", "n_words").agg(F.max("n_docs").alias("n_docs")).select(
+        F.col("first_doc").alias("doc"), F.col("first_pos").alias("pos"), "n_words", "first_doc", "first_pos", "n_docs",
+        F.lit(False).alias("removed"), F.col("first_word").alias("word"))
+    return rows.drop("first_word").unionByName(kept)
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Repeated lines (``word`` is null) and repeated runs."""
+    lines = repeated_passages(docs, id_col, text).withColumn("word", F.lit(None).cast("int"))
+    return lines.unionByName(repeated_runs(docs, id_col, text))
+
+
+def _without_words(raw: bytes, lines: set[int], words: set[int]) -> bytes:
+    """``raw`` without whole lines and without single words; a line that loses all its words goes."""
+    out, at = [], 0
+    for number, line in enumerate(raw.split(b"\n")):
+        pieces = re.findall(rb"\s*\S+", line)
+        stays = [i not in words for i in range(at, at + len(pieces))]
+        at += len(pieces)
+        if number in lines or (pieces and not any(stays)):
+            continue
+        if not all(stays):
+            line = b"".join(p for p, s in zip(pieces, stays) if s)
+            line = line if stays[0] else line.lstrip()
+        out.append(line)
+    return b"\n".join(out)
+
+
 def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the removed paragraphs taken out of the text."""
+    """``docs`` with the removed paragraphs taken out of the text, and the removed runs if ``found`` has ``word``."""
+    if "word" in found.columns:
+        gone = found.where("removed").groupBy(F.col("doc").alias("_doc")).agg(
+            F.collect_set(F.when(F.col("word").isNull(), F.col("pos"))).alias("_lines"),
+            F.collect_set(F.when(F.col("word").isNotNull(), F.struct("word", "n_words"))).alias("_runs"))
+        joined = docs.join(gone, docs[id_col] == gone["_doc"], "left").drop("_doc")
+        schema = docs.schema
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = utf8_rows(batch.column(text))
+                for i, (lines, runs) in enumerate(zip(batch.column("_lines").to_pylist(), batch.column("_runs").to_pylist())):
+                    if texts[i] and (lines or runs):
+                        words = {w for r in runs for w in range(r["word"], r["word"] + r["n_words"])}
+                        texts[i] = _without_words(texts[i], set(lines), words)
+                kept = pa.array(texts, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [kept if name == text else batch.column(name) for name in schema.names], schema.names)
+        return joined.mapInArrow(run, schema)
     gone = found.where("removed").groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("pos").alias("_gone"))
     joined = docs.join(gone, docs[id_col] == gone["_doc"], "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")

@@ -145,10 +145,13 @@ def op9_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every paragraph of a cluster that reaches over several documents."""
-    found = passages.repeated_passages(table(spark, folder, "documents"))
+    """Every paragraph of a cluster that reaches over several documents, and every run of words that several hold.
+
+    ``word`` is the number of a run's first word, and null for a whole line.
+    """
+    found = passages.repeats(table(spark, folder, "documents"))
     return found.select(F.col("doc").alias("doc_id"), F.col("pos").alias("paragraph"), "n_words", "first_doc",
-                        F.col("first_pos").alias("first_paragraph"), "n_docs", "removed")
+                        F.col("first_pos").alias("first_paragraph"), "n_docs", "removed", "word")
 
 
 @query()
