@@ -119,3 +119,17 @@ def test_every_shared_run_is_found(spark):
             want.add((d + i, n + 1, len(shared.split()), d, 3, i > 0))
     found = P.repeated_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {(r.doc, r.word, r.n_words, r.first_doc, r.n_docs, r.removed) for r in found} == want
+
+
+def test_one_document_is_sketched_in_pieces(spark, monkeypatch):
+    rng = random.Random(13)
+    docs = spark.createDataFrame([(1, "\n".join(line(rng, 30) for _ in range(40)))], "doc_id long, text string")
+
+    def sketch(hashes, *rest, plain=P._sketch):
+        assert len(hashes) <= 4
+        return plain(hashes, *rest)
+    whole = {tuple(r) for r in P.sketches(docs, "doc_id", "text", 80, 5, 25, 0.9).collect()}
+    monkeypatch.setattr(P, "CHUNK_WORDS", 100)
+    monkeypatch.setattr(P, "_sketch", sketch)
+    pieces = {tuple(r) for r in P.sketches(docs, "doc_id", "text", 80, 5, 25, 0.9).collect()}
+    assert pieces == whole and len(whole) == 40

@@ -103,9 +103,10 @@ def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int,
                     pos.append(at)
                     held.append(hashes)
                     total += len(hashes)
-                if total > CHUNK_WORDS:
-                    yield flush()
-                    doc, pos, held, total = [], [], [], 0
+                    # Inside a document too: the number of paragraphs held must fit above the shingle.
+                    if total > CHUNK_WORDS:
+                        yield flush()
+                        doc, pos, held, total = [], [], [], 0
         if held:
             yield flush()
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
