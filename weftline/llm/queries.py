@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, lines, mixing, near_dup, passages, perplexity, quality, quotations, sharding, toxicity
+from weftline.llm import (
+    decontaminate, lines, mixing, near_dup, passages, periodic, perplexity, quality, quotations, sharding, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,3 +254,13 @@ def op3_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     found = quotations.link_conversations(quoting_mails(spark, folder))
     return found.select(F.col("conv").alias("conv_id"), "turn", "reply_to", "quote_levels", "n_quoted", "n_linked",
                         "position", "depth", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document (one in ten made periodic first): number, the longest, digests of the runs and of the cut text."""
+    docs = periodic.planted(table(spark, folder, "documents"))
+    found = periodic.find_runs(docs, collapsed=False)
+    return found.select("doc_id", "n_runs", "start", "length", "period",
+                        F.floor(1000 * F.col("length") / F.col("period")).cast("bigint").alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
