@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftline.llm import (
-    decontaminate, lines, mixing, near_dup, passages, periodic, perplexity, quality, quotations, sharding, toxicity)
+    collocations, decontaminate, htmltext, lines, mixing, near_dup, passages, periodic, perplexity, quality, quotations, sharding, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,3 +264,44 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_runs", "start", "length", "period",
                         F.floor(1000 * F.col("length") / F.col("period")).cast("bigint").alias("exponent_milli"),
                         "runs_sha256", "collapsed_sha256")
+
+
+COLLOCATION_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+sized AS (SELECT lang, w, unnest(range(1, least(len(w), 5) + 1)) AS m FROM worded WHERE len(w) > 0),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM sized),
+counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+inside AS (
+  SELECT DISTINCT c.lang, c.phrase FROM counted c JOIN (
+    SELECT lang, m, f, string_split(phrase, ' ') AS w FROM counted WHERE m > 2) x ON x.lang = c.lang AND x.m > c.m AND 100 * x.f >= 100 * c.f
+  WHERE c.m > 1 AND len(list_filter(range(1, x.m - c.m + 2), lambda i: array_to_string(x.w[i:i + c.m - 1], ' ') = c.phrase)) > 0),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM counted, range(1, 5) AS r(k) WHERE m > 1 AND k < m),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest
+  JOIN totals t ON t.lang = c.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM weakest ANTI JOIN inside USING (lang, phrase) QUALIFY rank <= 2000"""
+
+
+@query(COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest phrases of each language."""
+    found = collocations.ranked(collocations.mine(table(spark, folder, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query()
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, folder, "pages"))
