@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.operators.components import connected_components
-from weftline.session import cut
+from weftline.session import cut, ship
 
 CELL_ITEMS = 50_000
 
@@ -88,6 +88,7 @@ def _cell_links(ids: np.ndarray, labels: np.ndarray, blocks: np.ndarray, sets: l
 
 def _within_crowds(met: DataFrame, labels: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """``i, j``: classes joined by links between two members of one hub's crowd."""
+    ship(met.sparkSession)
     placed = (met.join(sizes, "id").join(labels, "id", "left")
               .select("hub", "id", "n", F.coalesce("label", "id").alias("label")))
     mixed = placed.groupBy("hub").agg(

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from weftline.llm.crowds import classes, comparable, lists, stars
 from weftline.llm.shingles import MinHash, WordHashes, shingle_set, windows
 from weftline.llm.text import mix64, utf8_rows
-from weftline.session import cut
+from weftline.session import cut, ship
 
 MIN_WORDS = 25
 # Every shared run of 48 words or more is found, and none of less than 25 is reported.
@@ -84,6 +84,7 @@ def _sketch(hashes: list[np.ndarray], width: int, hasher: MinHash) -> tuple[np.n
 
 def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int, min_words: int, recall: float) -> DataFrame:
     """``doc, pos, n_words, id, n, b0..``: set digest, set size and band keys of every paragraph."""
+    ship(docs.sparkSession)
     count = bands_for(percent, recall)
     names = ["doc", "pos", "n_words", "id", "n", *[f"b{i}" for i in range(count)]]
 
@@ -115,6 +116,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int,
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int, min_words: int) -> DataFrame:
     """``id, items`` of the paragraphs in ``wanted`` (``id, doc, pos``)."""
+    ship(docs.sparkSession)
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("pos", "id")).alias("wanted"))
     joined = per_doc.join(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text).alias("text")), "doc")
 
@@ -170,6 +172,7 @@ def _selected(grams: np.ndarray, window: int) -> np.ndarray:
 
 def selected_grams(docs: DataFrame, id_col: str, text: str, width: int, window: int) -> DataFrame:
     """``doc, word, gram``: the selected hashes of ``width`` words in a row, and the number of the first word."""
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
@@ -190,6 +193,7 @@ def selected_grams(docs: DataFrame, id_col: str, text: str, width: int, window:
 
 def _chains(matched: DataFrame, width: int) -> DataFrame:
     """``doc, a, b, first_doc, fa, fb, n_docs``: words a to b - 1 of a document equal words fa to fb - 1 of the first."""
+    ship(matched.sparkSession)
     names = ["doc", "a", "b", "first_doc", "fa", "fb", "n_docs"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 
@@ -215,6 +219,7 @@ def _chains(matched: DataFrame, width: int) -> DataFrame:
 def _sides(spans: DataFrame, docs: DataFrame, id_col: str, text: str, reach: int) -> DataFrame:
     """``doc, a, b`` with the hashes of up to ``reach`` words before (nearest first) and after, and the
     lines of the words from a backwards."""
+    ship(spans.sparkSession)
     per_doc = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     joined = per_doc.join(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text).alias("text")), "doc")
 
@@ -313,6 +318,7 @@ def _without_words(raw: bytes, lines: set[int], words: set[int]) -> bytes:
 
 def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the removed paragraphs taken out of the text, and the removed runs if ``found`` has ``word``."""
+    ship(docs.sparkSession)
     if "word" in found.columns:
         gone = found.where("removed").groupBy(F.col("doc").alias("_doc")).agg(
             F.collect_set(F.when(F.col("word").isNull(), F.col("pos"))).alias("_lines"),

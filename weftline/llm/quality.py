@@ -30,6 +30,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from weftline.llm.labelled import fold, sample
 from weftline.llm.text import utf8_rows
+from weftline.session import ship
 
 # Documented bounds: labelled rows read, bytes of text used per class, size of a dictionary.
 SAMPLE_ROWS = 6_000
@@ -148,6 +149,7 @@ def _texts(rows: DataFrame, budget: int) -> list[bytes]:
 
 
 def _measure(df: DataFrame, model: Model) -> DataFrame:
+    ship(df.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model)
         for batch in batches:
@@ -169,6 +171,7 @@ def scores_of(model: Model, measures: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``difference`` and ``score`` of every whole text."""
+    ship(docs.sparkSession)
     new = ("difference", "score")
     kept = [f for f in docs.schema.fields if f.name not in new]
     narrow = docs.select([f.name for f in kept])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftline.llm import (
     collocations, decontaminate, htmltext, lines, mixing, near_dup, passages, periodic, perplexity, quality, quotations, sharding, toxicity)
+from weftline.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.llm.labelled import fold, sample
+from weftline.session import ship
 
 # Documented bounds: labelled rows read, and features kept.
 SAMPLE_ROWS = 16_000
@@ -116,6 +117,7 @@ def fixed_votes(text: str | None, words: set[str]) -> int:
 
 def mined(labelled: DataFrame) -> tuple[list[tuple[str, int, int, float]], int, int]:
     """Features with some evidence, strongest first, and the class sizes."""
+    ship(labelled.sparkSession)
     sizes = dict(labelled.groupBy("y").count().collect())
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
     if not n_pos or not n_neg:
@@ -168,6 +170,7 @@ def _vote(model: Model, known: _Known, text: str | None) -> tuple[int, list[int]
 
 def vote_patterns(docs: DataFrame, model: Model, text: str = "text") -> list[tuple[int, int]]:
     """(pattern, documents) over all documents: at most 2^VOTERS rows."""
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(model.number)
         for batch in batches:
@@ -245,6 +248,7 @@ def _fit_weights(rows: list[list[int]], target: np.ndarray, size: int, ridge: fl
 def fit(docs: DataFrame, labels: DataFrame, seen: Column, label: str = "toxic", id_col: str = "doc_id",
         text: str = "text", rows: int = SAMPLE_ROWS) -> Model:
     """Mine lexicons, fit the label model to all documents, fit the classifier to its posteriors."""
+    ship(docs.sparkSession)
     labelled = sample(docs, labels, label, seen, rows, id_col, text)
     features, _, _ = mined(labelled)
     model = Model(number={name: i for i, (name, *_) in enumerate(features)}, votes=lexicon_votes(features),
@@ -269,6 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, seen: Column, label: str = "toxic",
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text."""
+    ship(docs.sparkSession)
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     kept = [f for f in docs.schema.fields if f.name != out]
