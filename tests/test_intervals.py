@@ -130,3 +130,31 @@ def test_ranges_longer_than_the_last_level(spark):
     right = df.withColumnsRenamed({"start": "r_start", "end": "r_end"})
     met = {r.id: r.match for r in I.first_overlap(left, right, ["k"], "id", "v", levels=4).collect()}
     assert met == {n: min((v for _, s, e, v in ranges if s < p + 3 and p < e), default=None) for n, p in enumerate(points)}
+
+
+def test_scratch_names_do_not_clash(spark):
+    """Columns named as the operators' own working columns come through, in either case of letters."""
+    scratch = ["_bin", "_ours", "_other", "_n", "_many_l", "_many_r", "_chunk", "_value", "_local", "_carry", "_total", "_part", "_RN", "_offset"]
+    left, right = rows(5, 30), rows(6, 25)
+    plain = spark.createDataFrame(left, SCHEMA)
+    other = spark.createDataFrame([d[:4] for d in right], "key long, rid long, r_start long, r_end long")
+    for hot in (3, 10 ** 6):
+        want = sorted((r.id, r.rid) for r in I.range_join(plain, other, ["key"], 16, hot=hot).collect())
+        assert want
+        for a, b in zip(scratch, scratch[1:] + scratch[:1]):
+            named = plain.withColumnRenamed("start", a).withColumnRenamed("end", b)
+            got = I.range_join(named, other, ["key"], 16, (a, b), hot=hot)
+            assert set(got.columns) == {*named.columns, "rid", "r_start", "r_end"}
+            if a in ("_bin", "_ours", "_n", "_many_l"):
+                assert sorted((r.id, r.rid) for r in got.collect()) == want
+    extra = plain
+    for name in scratch:
+        extra = extra.withColumn(name, F.col("score"))
+    sums = prefix_scan(extra, ["key"], "id", F.floor(F.col("id") / 8), F.col("score"), "sum", "run").collect()
+    for r in sums:
+        assert r.run == sum(d[4] for d in left if d[0] == r.key and d[1] <= r.id) and all(r[c] == r.score for c in scratch)
+    numbers = ordinal(extra, ["start", "id"], "place", ["key"]).collect()
+    assert all(r[c] == r.score for r in numbers for c in scratch)
+    for key in {d[0] for d in left}:
+        mine = sorted((d for d in left if d[0] == key), key=lambda d: (d[2], d[1]))
+        assert [r.id for r in sorted((r for r in numbers if r.key == key), key=lambda r: r.place)] == [d[1] for d in mine]

@@ -13,11 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from weftline.operators.scan import ordinal, prefix_scan
+from weftline.operators.scan import fresh, ordinal, prefix_scan
 from weftline.session import cut
 
 CHUNK = 1 << 16
-LEVELS = 32
 
 
 def _chunk(column: str, width: int) -> Column:
@@ -109,28 +108,31 @@ def range_join(left: DataFrame, right: DataFrame, keys: Sequence[str], width: in
     ls, le = left_range
     rs, re_ = right_range
     reach = 0 if touch else 1
-    lb = left.where(F.col(le) + F.lit(1 - reach) > F.col(ls)).withColumn("_bin", F.explode(F.sequence(
+    bin_, ours, other, n, many_l, many_r = fresh([*left.columns, *right.columns], "_bin", "_ours", "_other", "_n", "_many_l", "_many_r")
+    at = [*keys, bin_]
+    lb = left.where(F.col(le) + F.lit(1 - reach) > F.col(ls)).withColumn(bin_, F.explode(F.sequence(
         F.floor(F.col(ls) / width), F.floor((F.col(le) - reach) / width))))
-    rb = right.where(F.col(re_) > F.col(rs)).withColumn("_bin", F.explode(F.sequence(
+    rb = right.where(F.col(re_) > F.col(rs)).withColumn(bin_, F.explode(F.sequence(
         F.floor(F.col(rs) / width), F.floor((F.col(re_) - 1) / width))))
-    def salts(rows: DataFrame, out: str) -> DataFrame:
-        return (rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
-                .select(*keys, "_bin", F.ceil(F.col("_n") / hot).cast("int").alias(out)))
 
-    crowded = salts(lb, "_ls").join(salts(rb, "_rs"), [*keys, "_bin"], "full_outer")
-    mine, theirs = F.coalesce("_ls", F.lit(1)), F.coalesce("_rs", F.lit(1))
+    def parts(rows: DataFrame, out: str) -> DataFrame:
+        return (rows.groupBy(*at).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > hot)
+                .select(*at, F.ceil(F.col(n) / hot).cast("int").alias(out)))
 
-    def dealt(rows: DataFrame, own: Column, other: Column, at: str, over: str) -> DataFrame:
-        """Each row at one of its side's salts, repeated over the salts of the other side."""
+    # Written, so that the planner knows how few crowded bins there are before it joins both sides with them.
+    crowded = cut(parts(lb, many_l).join(parts(rb, many_r), at, "full_outer"))
+
+    def dealt(rows: DataFrame, own: str, across: str, mine: str, theirs: str) -> DataFrame:
+        """Each row at one part of its side, repeated over the parts of the other side."""
         stamp = F.xxhash64(*[F.col(c) for c in rows.columns])
-        return (rows.withColumn(at, stamp).join(crowded, [*keys, "_bin"], "left")
-                .withColumn(at, F.pmod(F.col(at), own).cast("int"))
-                .withColumn(over, F.explode(F.sequence(F.lit(0), other - 1))).drop("_ls", "_rs"))
-    lb, rb = dealt(lb, mine, theirs, "_a", "_b"), dealt(rb, theirs, mine, "_b", "_a")
+        return (rows.withColumn(mine, stamp).join(crowded, at, "left")
+                .withColumn(mine, F.pmod(F.col(mine), F.coalesce(own, F.lit(1))).cast("int"))
+                .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.coalesce(across, F.lit(1)) - 1))).drop(many_l, many_r))
+    lb, rb = dealt(lb, many_l, many_r, ours, other), dealt(rb, many_r, many_l, other, ours)
     overlap = (F.col(ls) < F.col(re_)) & (
         (F.col(rs) <= F.col(le)) if touch else (F.col(rs) < F.col(le)))
-    owner = F.col("_bin") == F.floor(F.greatest(F.col(ls), F.col(rs)) / width)
-    return lb.join(rb, [*keys, "_bin", "_a", "_b"]).where(overlap & owner).drop("_bin", "_a", "_b")
+    owner = F.col(bin_) == F.floor(F.greatest(F.col(ls), F.col(rs)) / width)
+    return lb.join(rb, [*at, ours, other]).where(overlap & owner).drop(bin_, ours, other)
 
 
 def overlaps_any(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -175,6 +177,12 @@ def _cover(start: str, end: str, levels: int) -> Column:
         f" b -> struct({levels} AS level, b AS block)) ELSE array() END)")
 
 
+def _levels_for(*ranges: tuple[DataFrame, str, str]) -> int:
+    """Block levels that the longest of these ranges needs (one narrow aggregate); any number gives the same result."""
+    longest = [df.agg(F.max(F.col(end) - F.col(start))).first()[0] or 1 for df, start, end in ranges]
+    return max(1, int(max(longest)).bit_length())
+
+
 def _ancestors(point: str, levels: int) -> Column:
     return F.expr(f"transform(sequence(0, {levels}), l -> struct(l AS level, shiftright({point}, l) AS block))")
 
@@ -194,9 +202,10 @@ def _lookup(points: DataFrame, ids: Sequence[str], keys: Sequence[str], blocks:
 
 def stab_best(points: DataFrame, ranges: DataFrame, keys: Sequence[str], point: str,
               value: str, start: str = "start", end: str = "end",
-              levels: int = LEVELS, out: str = "best") -> DataFrame:
+              levels: int | None = None, out: str = "best") -> DataFrame:
     """Smallest ``value`` among the ranges covering each (keys, point)."""
     keys = list(keys)
+    levels = levels or _levels_for((ranges, start, end))
     tree = _blocks(ranges, keys, _cover(start, end, levels), value)
     found = _lookup(points, [*keys, point], keys, _ancestors(point, levels), tree)
     return found.groupBy(*keys, point).agg(F.min("_v").alias(out))
@@ -205,7 +214,7 @@ def stab_best(points: DataFrame, ranges: DataFrame, keys: Sequence[str], point:
 def first_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], id_col: str,
                   value: str, left_range: tuple[str, str] = ("start", "end"),
                   right_range: tuple[str, str] = ("r_start", "r_end"),
-                  levels: int = LEVELS, out: str = "match") -> DataFrame:
+                  levels: int | None = None, out: str = "match") -> DataFrame:
     """Smallest ``value`` among right intervals overlapping each left row, or NULL.
 
     An overlapping range either covers the left start or begins inside it; both
@@ -217,6 +226,7 @@ def first_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], id_col
     solid = right.where(F.col(re_) > F.col(rs))
     spans = left.where(F.col(le) > F.col(ls)).select(
         id_col, *keys, F.col(ls).alias("_s"), (F.col(ls) + 1).alias("_s1"), F.col(le).alias("_e"))
+    levels = levels or _levels_for((solid, rs, re_), (spans, "_s", "_e"))
     covering = _blocks(solid, keys, _cover(rs, re_, levels), value)
     begins = _blocks(solid, keys, _ancestors(rs, levels), value)
     found = _lookup(spans, [id_col], keys, _ancestors("_s", levels), covering).unionByName(
@@ -227,7 +237,7 @@ def first_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], id_col
 
 def best_score_envelope(df: DataFrame, keys: Sequence[str], id_col: str, score: str = "score",
                         start: str = "start", end: str = "end", longer_than: int = 50,
-                        levels: int = LEVELS, width: int = CHUNK) -> DataFrame:
+                        levels: int | None = None, width: int = CHUNK) -> DataFrame:
     """Which alignment scores best along each key: ``keys, id, start, end``.
 
     Ties go to the earlier start, then the smaller id.  Neighbouring stretches

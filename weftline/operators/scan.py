@@ -8,7 +8,7 @@ in turn, and the carried value is joined back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,6 +23,17 @@ def _combine(how: str, left: Column, right: Column) -> Column:
     return F.greatest(left, right) if how == "max" else F.least(left, right)
 
 
+def fresh(taken: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, changed where a name is taken (names differ by more than case)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -43,20 +54,21 @@ def prefix_scan(
     """
     keys = list(keys)
     fold = _AGGREGATES[how]
-    work = cut(df.withColumn("_chunk", chunk).withColumn("_value", value))
+    at, item, local, carry, total = fresh([*df.columns, out], "_chunk", "_value", "_local", "_carry", "_total")
+    work = cut(df.withColumns({at: chunk, item: value}))
     direction = F.desc if descending else F.asc
     bound = Window.currentRow if inclusive else -1
-    local = (Window.partitionBy(*keys, "_chunk").orderBy(direction(order))
-             .rowsBetween(Window.unboundedPreceding, bound))
-    work = work.withColumn("_local", fold("_value").over(local))
-    totals = work.groupBy(*keys, "_chunk").agg(fold("_value").alias("_total"))
-    before = (Window.partitionBy(*keys).orderBy(direction("_chunk"))
+    inside = (Window.partitionBy(*keys, at).orderBy(direction(order))
+              .rowsBetween(Window.unboundedPreceding, bound))
+    work = work.withColumn(local, fold(item).over(inside))
+    totals = work.groupBy(*keys, at).agg(fold(item).alias(total))
+    before = (Window.partitionBy(*keys).orderBy(direction(at))
               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = totals.select(*keys, "_chunk", fold("_total").over(before).alias("_carry"))
+    carried = totals.select(*keys, at, fold(total).over(before).alias(carry))
     return (
-        work.join(carried, [*keys, "_chunk"], "left")
-        .withColumn(out, _combine(how, F.col("_local"), F.col("_carry")))
-        .drop("_chunk", "_value", "_local", "_carry")
+        work.join(carried, [*keys, at], "left")
+        .withColumn(out, _combine(how, F.col(local), F.col(carry)))
+        .drop(at, item, local, carry)
     )
 
 
@@ -68,22 +80,21 @@ def ordinal(df: DataFrame, order: Sequence[str], out: str = "ordinal",
     partitions; the layout is made durable before the partition ids are used.
     """
     keys = list(keys)
-    parts = parallelism(df.sparkSession)
+    part, number, size, offset = fresh([*df.columns, out], "_part", "_rn", "_n", "_offset")
     laid = cut(
-        df.repartitionByRange(parts, *keys, *order)
-        .withColumn("_part", F.spark_partition_id())
+        df.repartitionByRange(parallelism(df.sparkSession), *keys, *order)
+        .withColumn(part, F.spark_partition_id())
     )
-    local = Window.partitionBy(*keys, "_part").orderBy(*order)
-    numbered = laid.withColumn("_rn", F.row_number().over(local))
-    sizes = laid.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*keys).orderBy("_part")
+    local = Window.partitionBy(*keys, part).orderBy(*order)
+    numbered = laid.withColumn(number, F.row_number().over(local))
+    sizes = laid.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(size))
+    before = (Window.partitionBy(*keys).orderBy(part)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(*keys, "_part",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = sizes.select(*keys, part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(offset))
     return (
-        numbered.join(offsets, [*keys, "_part"])
-        .withColumn(out, (F.col("_rn") + F.col("_offset") + F.lit(start - 1)).cast("bigint"))
-        .drop("_part", "_rn", "_offset")
+        numbered.join(offsets, [*keys, part])
+        .withColumn(out, (F.col(number) + F.col(offset) + F.lit(start - 1)).cast("bigint"))
+        .drop(part, number, offset)
     )
 
 
