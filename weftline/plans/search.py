@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.functions import locus as L, sequence as S
-from weftline.operators import intervals as I, kmers as K
+from weftline.functions import locus as L
+from weftline.operators import intervals as I, kmers as K, tiling as TI
+from weftline.session import cut
 
 
 def unique_enough(targets: DataFrame, genome: DataFrame, k: int = 31, limit: int = 255) -> DataFrame:
@@ -26,13 +27,14 @@ def find_regions(contigs: DataFrame, targets: DataFrame, k: int = 31, cutoff: in
 
 
 def extract(contigs: DataFrame, regions: DataFrame, strand: str = "+") -> DataFrame:
-    """``target, contig, start, end, header, seq`` of each region, cut to its contig."""
-    met = regions.join(contigs.select(F.col("name").alias("contig"), "seq"), "contig")
-    end = F.least("end", F.length("seq"))
-    bases = S.slice_bases(F.col("seq"), F.col("start"), end, F.lit(strand))
-    return met.select("target", "contig", "start", end.cast("bigint").alias("end"),
-                      L.locus_text(F.col("contig").cast("string"), F.col("start"), end, F.lit(strand)).alias("header"),
-                      bases.alias("seq"))
+    """``target, contig, start, end, header, seq`` of each region, cut to its contig; only the tiles it touches are read."""
+    index = TI.tile_index(contigs)
+    sizes = TI.tiled_lengths(index).select(F.col("name").alias("contig"), "len")
+    asked = regions.join(sizes, "contig").select("target", "contig", "start", F.least("end", "len").cast("bigint").alias("end"),
+                                                 F.lit(strand).alias("strand"))
+    found = TI.slice_regions(index.withColumnRenamed("name", "contig"), cut(asked), ["contig"], strand="strand", out="seq")
+    return found.select("target", "contig", "start", "end",
+                        L.locus_text(F.col("contig").cast("string"), F.col("start"), F.col("end"), F.col("strand")).alias("header"), "seq")
 
 
 def search(contigs: DataFrame, targets: DataFrame, **options: int) -> DataFrame:

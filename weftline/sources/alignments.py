@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftline.functions import attrs as T, cigar as C, locus as L
+from weftline.operators import tiling as TI
 from weftline.schemas import FAI, GFF, PAF
 from weftline.sources.tables import read_tabbed, write_report
 
@@ -131,13 +132,11 @@ def sam_to_paf(hits: DataFrame, query_sizes: DataFrame) -> DataFrame:
 
 
 def region_fasta(sequences: DataFrame, regions: DataFrame, name: Column) -> DataFrame:
-    """``name, header, seq`` cut from contigs by (contig, start, end, strand) rows."""
-    from weftline.functions.sequence import slice_bases
-
-    cut_out = sequences.select(F.col("name").alias("contig"), F.col("seq").alias("_seq")).join(regions, "contig")
-    place = L.locus_text(F.col("contig"), F.col("start"), F.col("end"), F.col("strand"))
-    return cut_out.select(name.alias("name"), F.concat_ws("\t", name, place).alias("header"),
-                          slice_bases(F.col("_seq"), F.col("start"), F.col("end"), F.col("strand")).alias("seq"))
+    """``name, header, seq`` cut from contigs by (contig, start, end, strand) rows; only the tiles a region touches are read."""
+    index = TI.tile_index(sequences).withColumnRenamed("name", "contig")
+    place = L.locus_text(F.col("contig").cast("string"), F.col("start"), F.col("end"), F.col("strand"))
+    found = TI.slice_regions(index, regions.withColumn("name", name), ["contig"], strand="strand", out="seq")
+    return found.select("name", F.concat_ws("\t", "name", place).alias("header"), "seq")
 
 
 _LINE = r"^(\S+)[ ]+(?:\d+[ ]+)?([A-Za-z-]+)(?:[ ]+\d+)?[ ]*$"
