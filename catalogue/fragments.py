@@ -13,10 +13,11 @@ SEQS = f"seqs AS (SELECT doc_id AS name, lang AS grp, source AS hap, {bases('tex
 TARGETS = f"targets AS (SELECT item_id AS target, {bases('text')} AS seq FROM benchmark)"
 
 
-def hits(out: str, source: str, ids: str, k: int = 31) -> str:
-    """CTE ``out`` with ids, 0-based pos and canonical k-mer text of ``source``."""
+def hits(out: str, source: str, ids: str, k: int = 31, strand: bool = False) -> str:
+    """CTE ``out`` with ids, 0-based pos and canonical k-mer text of ``source``, and whether the text itself is canonical."""
+    fwd = ", f >= reverse(translate(f, 'ACGT', 'TGCA')) AS fwd" if strand else ""
     return f"""{out} AS (
-  SELECT {ids}, pos, greatest(f, reverse(translate(f, 'ACGT', 'TGCA'))) AS kmer
+  SELECT {ids}, pos, greatest(f, reverse(translate(f, 'ACGT', 'TGCA'))) AS kmer{fwd}
   FROM (SELECT {ids}, t + p AS pos, substr(tile, p + 1, {k}) AS f
         FROM (SELECT {ids}, t, tile, unnest(range(0, length(tile) - {k - 1})) AS p
               FROM (SELECT {ids}, t, substr(seq, t + 1, {255 + k}) AS tile

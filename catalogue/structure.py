@@ -159,17 +159,6 @@ def self_repeats(spark, sf):
     return R.self_repeats(doc_hits(spark, sf), longer_than=60)
 
 
-def _paths(spark, sf):
-    hits, found = _segments(spark, sf)
-    segments = cut(R.cut_segments(A.sequences(spark, sf), found))
-    return segments, R.graph_paths(R.colinear_runs(hits, segments))
-
-
-@query()
-def graph_paths(spark, sf):
-    return R.path_text(_paths(spark, sf)[1])
-
-
 @query(f"""WITH {DOC_HITS}, {TARGET_HITS}, th AS (SELECT t.target, h.name AS contig, h.pos FROM hits h
 JOIN (SELECT DISTINCT target, kmer FROM thits) t USING (kmer)), hs AS ({_hotspot_cte}),
 u AS (SELECT *, sum(brk) OVER (PARTITION BY target, contig ORDER BY start, "end") AS g FROM (SELECT *, CASE WHEN start - max("end") OVER
