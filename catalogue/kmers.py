@@ -8,7 +8,7 @@ from catalogue import query
 from catalogue.fragments import DOC_HITS, SEQS, TARGET_HITS
 from weftline import adapters as A
 from weftline.functions import sequence as S
-from weftline.operators import intervals as I, kmers as K
+from weftline.operators import intervals as I, kmers as K, superkmers as SK
 from weftline.session import cut
 
 
@@ -26,13 +26,13 @@ def with_text(df: DataFrame) -> DataFrame:
 
 @query(f"""WITH {DOC_HITS} SELECT kmer, least(count(*), 255)::INT AS cnt FROM hits GROUP BY kmer""")
 def kmer_count(spark, sf):
-    return with_text(K.count_kmers(doc_hits(spark, sf)))
+    return with_text(SK.count_super_kmers(A.sequences(spark, sf)))
 
 
 @query(f"""WITH {DOC_HITS}, c AS (SELECT kmer, least(count(*), 255) AS cnt FROM hits GROUP BY kmer)
 SELECT cnt::INT AS cnt, count(*) AS n_kmers FROM c GROUP BY cnt""")
 def kmer_spectrum(spark, sf):
-    return K.count_kmers(doc_hits(spark, sf)).groupBy("cnt").agg(F.count(F.lit(1)).alias("n_kmers"))
+    return SK.count_super_kmers(A.sequences(spark, sf)).groupBy("cnt").agg(F.count(F.lit(1)).alias("n_kmers"))
 
 
 @query(f"""WITH {DOC_HITS}, c AS (SELECT name, kmer, count(*) AS n FROM hits GROUP BY name, kmer)
@@ -47,7 +47,7 @@ def kmer_distinct_per_seq(spark, sf):
 SELECT hap, sum(cnt)::BIGINT AS total, sum(CASE WHEN cnt = 3 THEN 1 ELSE 0 END)::BIGINT AS saturated
 FROM c GROUP BY hap""")
 def kmer_saturated(spark, sf):
-    per = K.count_kmers(doc_hits(spark, sf, "hap"), ["hap"], limit=3)
+    per = SK.count_super_kmers(A.sequences(spark, sf), ["hap"], limit=3)
     return per.groupBy("hap").agg(F.sum("cnt").alias("total"),
                                   F.sum(F.when(F.col("cnt") == 3, 1).otherwise(0)).alias("saturated"))
 

@@ -130,13 +130,99 @@ def test_small_and_distributed_linkage_agree(spark):
     assert ends == {1: 9, 2: 13}
 
 
-def test_newick_round_trip():
+def read_tree(text):
+    """Edges by plain recursion: (parent, child, length, leaf) with leaves numbered first, inner nodes in order of closing."""
+    leaves, inner, edges = [], [], []
+    pos = 0
+
+    def length():
+        nonlocal pos
+        if pos < len(text) and text[pos] == ":":
+            end = next(i for i in range(pos + 1, len(text) + 1) if i == len(text) or text[i] in ",();")
+            value, pos = float(text[pos + 1:end]), end
+            return value
+        return 0.0
+
+    def word():
+        nonlocal pos
+        end = next(i for i in range(pos, len(text) + 1) if i == len(text) or text[i] in ":,();")
+        value, pos = text[pos:end].strip(), end
+        return value
+
+    def node():
+        nonlocal pos
+        if text[pos] != "(":
+            leaves.append(word())
+            return ("leaf", len(leaves) - 1), length(), leaves[-1]
+        kids = []
+        while text[pos] in "(,":
+            pos += 1
+            kids.append(node())
+        pos += 1
+        inner.append(None)
+        mine = ("inner", len(inner) - 1)
+        word()
+        edges.extend((mine, child, size, name) for child, size, name in kids)
+        return mine, length(), None
+    node()
+    number = lambda x: x[1] + (len(leaves) if x[0] == "inner" else 0)
+    return sorted((number(p), number(c), round(d, 9), n or "") for p, c, d, n in edges)
+
+
+def test_newick_edges_equal_recursion(spark, tmp_path):
+    from weftline.sources import tables as ST
+
+    rng = random.Random(6)
+
+    def drawn(depth):
+        size = rng.choice(["", f":{rng.randint(0, 99) / 8}", ":1e-3"])
+        if depth == 0 or rng.random() < .2:
+            return f"{rng.choice(['a', 'b c', 'x_1'])}{rng.randint(0, 99)}{size}"
+        inner = ",".join(drawn(depth - 1) for _ in range(rng.randint(1, 4)))
+        return f"({inner}){rng.choice(['', 'n' + str(depth)])}{size}"
+    texts = {f"t{i}": f"({drawn(4)},{drawn(3)})root;\n" for i in range(6)} | {"one": "only;", "flat": "(a:1,b:2,c:3);", "deep": "(" * 40 + "q" + ",r)" * 40 + ";"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        got = {}
+        for r in ST.read_newick(spark, str(tmp_path)).collect():
+            got.setdefault(r.path.split("/")[-1], []).append((r.parent, r.child, round(r.length, 9), r.leaf or ""))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for name, text in texts.items():
+        assert sorted(got.get(name, [])) == read_tree(text.strip()), text
+
+
+def test_newick_text():
     tree = T.Tree(3, [1, 3], [0, 2], [0.2, 0.6])
     text = tree.newick(["a", "b", "c"])
     assert text.startswith("((b:0.1000000,a:0.1000000):0.200000,c:0.3000000)")
-    leaves, edges = T.parse_newick(text)
-    assert leaves == ["b", "a", "c"]
-    assert {(c, d) for _, c, d in edges} == {(0, .1), (1, .1), (2, .3), (3, .2)}
+    assert {(c, d) for _, c, d, _ in read_tree(text)} == {(0, .1), (1, .1), (2, .3), (3, .2)}
+
+
+def test_leaf_places_equal_a_walk(spark):
+    rng = random.Random(13)
+    members, merges = [], []
+    want = {}
+    for grp, n in ((1, 1), (2, 2), (3, 40), (4, 17)):
+        members += [(grp, grp * 1000 + i, i) for i in range(n)]
+        alive, size, left, right = list(range(n)), {i: 1 for i in range(n)}, [], []
+        for step in range(n - 1):
+            # Group 3 is a chain, which is as deep as it has leaves.
+            a = alive.pop(-1 if grp == 3 else rng.randrange(len(alive)))
+            b = alive.pop(rng.randrange(len(alive)))
+            a, b = (a, b) if rng.random() < .5 else (b, a)
+            node = n + step
+            size[node] = size[a] + size[b]
+            alive.append(node)
+            left.append(a)
+            right.append(b)
+            merges.append((grp, step, a, b, step / n, size[node]))
+        order, _ = T.Tree(n, left, right, [0.0] * (n - 1)).leaf_ranges()
+        want.update({(grp, leaf): place for place, leaf in enumerate(order)})
+    got = T.leaf_places(spark.createDataFrame(merges, T.MERGES), spark.createDataFrame(members, "grp long, name long, idx long"))
+    assert {(r.grp, r.idx): r.place for r in got.collect()} == want
 
 
 def test_largest_within_brute_force(spark):

@@ -1,5 +1,7 @@
 import gzip
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import locus as L
@@ -90,3 +92,37 @@ def test_matrix_newick_manifest_pairs(spark, tmp_path):
     p.write_text("# Score: 41\n#\n\nq1   ACG-T\n     ||| |\nr1   ACGGT\n\nq1   AA\n     ||\nr1   AA\n")
     row = SA.read_pair_alignments(spark, str(p)).first()
     assert (row.score, row.query, row.ref) == (41.0, "ACG-TAA", "ACGGTAA")
+
+
+@pytest.mark.parametrize("size", ["9", "64", "128m"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_fastq_splits_empty_reads_and_at_signs(spark, tmp_path, size, end):
+    rng = random.Random(7)
+    reads = [("r1", "ACGT", "IIII"), ("r2", "", ""), ("r3", "GGGG", "@@@@"), ("r4", "", ""), ("r5", "A", "@"), ("r6", "C", "+")]
+    for i in range(60):
+        n = rng.choice([0, 1, 5, 30])
+        reads.append((f"x{i}", "".join(rng.choice("ACGTN") for _ in range(n)), "".join(rng.choice("@+I>") for _ in range(n))))
+    text = "".join(f"@{n} about it{end}{s}{end}+{n if i % 3 == 0 else ''}{end}{q}{end}" for i, (n, s, q) in enumerate(reads))
+    (tmp_path / "a.fastq").write_text(text, newline="")
+    (tmp_path / "b.fastq").write_text(text.rstrip("\r\n"), newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [(r.path[-7:], r.name, r.seq) for r in SR.read_fastq(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted((f, n, s) for n, s, _ in reads for f in ("a.fastq", "b.fastq"))
+
+
+@pytest.mark.parametrize("size", ["7", "50", "128m"])
+def test_fasta_splits_and_line_ends(spark, tmp_path, size):
+    rng = random.Random(8)
+    records = [(f"s{i}", "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 1, 60, 61, 200])))) for i in range(25)]
+    for name, end in (("a.fa", "\n"), ("b.fa", "\r\n")):
+        lines = [x for n, s in records for x in [f">{n} text > more", *[s[i:i + 60] for i in range(0, len(s), 60)], *([""] if rng.random() < .3 else [])]]
+        (tmp_path / name).write_text(end.join(lines) + end, newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [(r.path[-4:], r.name, r.seq) for r in SR.read_fasta(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted((f, n, s) for n, s in records for f in ("a.fa", "b.fa"))

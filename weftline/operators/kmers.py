@@ -55,6 +55,16 @@ def pack_kmers(text: np.ndarray, k: int, canonical: bool) -> tuple[np.ndarray, n
     return (np.maximum(out_f, out_r) if canonical else out_f), valid, out_f >= out_r
 
 
+def reverse_codes(codes: np.ndarray, k: int) -> np.ndarray:
+    """Codes of the reverse complements: two-bit letters swapped pairwise, in fours and so on, then complemented."""
+    x = codes.astype(np.uint64)
+    for width, mask in ((2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F), (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF)):
+        keep, step = np.uint64(mask), np.uint64(width)
+        x = ((x >> step) & keep) | ((x & keep) << step)
+    x = (x >> np.uint64(32)) | (x << np.uint64(32))
+    return ((~x) >> np.uint64(64 - 2 * k)).astype(np.int64)
+
+
 def tiles(df: DataFrame, ids: Sequence[str], seq: str, overlap: int,
           step: int = TILE, parts: int | None = None) -> DataFrame:
     """Cut sequences into overlapping tiles and spread the tiles over the tasks."""

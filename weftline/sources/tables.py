@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftline.functions.sequence import decode_kmer, encode_kmer
+from weftline.operators.scan import ordinal, prefix_scan
 from weftline.sources.records import numbered_lines
+from weftline.session import cut
 
 _KMER = r"^[ACGTacgt]+$"
 
@@ -110,20 +112,47 @@ def read_linear_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 
 def read_newick(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, parent, child, length, leaf``: edges of each Newick file's tree."""
-    from weftline.operators.trees import parse_newick
-
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    schema = "path string, parent long, child long, length double, leaf string"
-
-    def run(batches):
-        import pandas as pd
-
-        for batch in batches:
-            rows = []
-            for path, text in zip(batch["path"], batch["value"]):
-                leaves, edges = parse_newick(text)
-                rows += [(path, p, c, d, leaves[c] if c < len(leaves) else None) for p, c, d in edges]
-            yield pd.DataFrame(rows, columns=["path", "parent", "child", "length", "leaf"])
-
-    return raw.mapInPandas(run, schema)
+    """``path, parent, child, length, leaf``: edges of each Newick file's tree.
+
+    The reader cuts files at commas, so one of any size is many rows.  A bracket's depth is a running sum, and the
+    parent of a node is the next closing bracket of its depth.  Leaves are numbered in order of appearance, inner nodes
+    after them in order of closing; inner labels are not kept, a missing length is 0.
+    """
+    raw = spark.read.option("lineSep", ",").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value"))
+    pieces = ordinal(cut(raw), ["block", "row"], "piece", ["path"], start=0)
+    parts = F.regexp_extract_all("value", F.lit(r"[()]|:[^(),;:]+|[^(),;:]+"), F.lit(0))
+    words = F.filter(F.transform(parts, lambda t: F.regexp_replace(t, r"^\s+|\s+$", "")), lambda t: t != "")
+
+    def token(t: Column, i: Column) -> Column:
+        one, two = F.get("t", i + 1), F.get("t", i + 2)
+        label = ~F.coalesce(one.rlike("^[():]"), F.lit(True))
+        size = F.when(one.startswith(":"), one).when(label & two.startswith(":"), two)
+        return F.struct(i.cast("bigint").alias("i"), t.alias("t"), F.substring(size, 2, 64).try_cast("double").alias("length"),
+                        (F.get("t", i - 1) == ")").alias("after"))
+    tokens = pieces.withColumn("t", words).select("path", "piece", F.explode(F.transform("t", token)).alias("k")).select(
+        "path", (F.col("piece") * (1 << 20) + F.col("k.i")).alias("at"), "k.t", F.coalesce("k.length", F.lit(0.0)).alias("length"),
+        F.coalesce("k.after", F.lit(False)).alias("after"))
+    leaf = ~F.col("t").rlike("^[():]") & ~F.col("after")
+    tokens = tokens.withColumn("leaf", leaf).where("leaf OR t IN ('(', ')')")
+    chunk = F.floor(F.col("at") / (1 << 36))
+    one = F.lit(1).cast("bigint")
+    for out, value in (("depth", F.when(F.col("t") == "(", one).when((F.col("t") == ")") & ~F.col("leaf"), -one).otherwise(0)),
+                       ("leaves", F.when(F.col("leaf"), one).otherwise(0)), ("closed", F.when((F.col("t") == ")") & ~F.col("leaf"), one).otherwise(0))):
+        tokens = prefix_scan(tokens, ["path"], "at", chunk, value, "sum", out, inclusive=False)
+    tokens = cut(tokens.withColumns({c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("depth", "leaves", "closed")}))
+    closing = tokens.where("NOT leaf AND t = ')'")
+    count = tokens.groupBy("path").agg(F.sum(F.col("leaf").cast("bigint")).alias("n"))
+    nodes = tokens.where("leaf").select("path", "at", "depth", "length", F.col("t").alias("name"), F.col("leaves").alias("number")).unionByName(
+        closing.select("path", "at", F.col("depth") - 1, "length", F.lit(None).cast("string").alias("name"), F.col("closed").alias("number")).toDF(
+            "path", "at", "depth", "length", "name", "number"))
+    none = F.lit(None).cast("bigint")
+    axis = nodes.withColumn("closer", none).unionByName(closing.select(
+        "path", "at", "depth", F.lit(0.0).alias("length"), F.lit(None).cast("string").alias("name"), none.alias("number"), F.col("closed").alias("closer")))
+    up = prefix_scan(axis, ["path", "depth"], "at", chunk, F.when(F.col("closer").isNotNull(), F.struct("at", "closer")), "min", "up",
+                     inclusive=False, descending=True)
+    found = up.where("number IS NOT NULL AND up IS NOT NULL").join(count, "path")
+    return found.select("path", (F.col("n") + F.col("up.closer")).alias("parent"),
+                        F.when(F.col("name").isNull(), F.col("n") + F.col("number")).otherwise(F.col("number")).alias("child"),
+                        "length", F.col("name").alias("leaf"))
