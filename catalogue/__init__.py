@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from catalogue import alignments, annotation, intervals, kmers, pairs, paths, sources, structure, tiles  # noqa: F401
+    from catalogue import alignments, annotation, intervals, kmers, pairs, paths, sources, structure, tiles, composed  # noqa: F401

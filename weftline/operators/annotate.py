@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weftline.operators.intervals import range_join
 from weftline.operators.scan import mode_first_seen, ordinal
 from weftline.session import cut
 
@@ -121,6 +122,15 @@ def top_names(df: DataFrame, key: str, name: str, prefix: str, limit: int = 3) -
     return ranked.groupBy(key).agg(F.array_join(F.transform(runs, lambda r: r["v"]), "OOO").alias("tag"))
 
 
+def partition_names(regions: DataFrame, genes: DataFrame, key: str, width: int = 1 << 14, limit: int = 3) -> DataFrame:
+    """``key, tag``: names of the genes that a partition's regions overlap, those with its ``prefix`` first.
+
+    ``regions`` is ``key, prefix, contig, start, end``, ``genes`` is ``contig, start, end, gene``.
+    """
+    placed = genes.select("contig", F.col("start").alias("r_start"), F.col("end").alias("r_end"), "gene")
+    return top_names(range_join(regions, placed, ["contig"], width), key, "gene", "prefix", limit)
+
+
 def signature_mode(svs: DataFrame, key: str, member: str, kind: str, size: str, order: str) -> DataFrame:
     """Commonest multiset of variant kinds per type and the mode of each size.
 

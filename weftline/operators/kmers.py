@@ -147,9 +147,14 @@ def probe_targets(samples: DataFrame, targets: DataFrame, sample: str = "sample"
         target, sample, "kmer", saturate(F.col("_n"), limit).alias("cnt"))
 
 
-def target_sizes(targets: DataFrame, target: str = "target") -> DataFrame:
-    """Distinct k-mers per target."""
-    return targets.groupBy(target).agg(F.countDistinct("kmer").alias("targetsize"))
+def size_sketches(hits: DataFrame, keys: Sequence[str], bits: int = 14) -> DataFrame:
+    """``keys, sketch``: a mergeable summary of the distinct k-mers of each key (a file, say), to be stored beside the counts."""
+    return hits.groupBy(*keys).agg(F.hll_sketch_agg("kmer", bits).alias("sketch"))
+
+
+def merged_sizes(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, size``: about how many distinct k-mers the sketches of each key hold together (1 % off at 14 bits)."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("size"))
 
 
 def select_informative(gene: DataFrame, genome: DataFrame, limit: int = 255) -> DataFrame:

@@ -6,20 +6,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.functions import locus as L
 from weftline.operators import intervals as I, kmers as K, tiling as TI
+from weftline.operators.superkmers import count_super_kmers
 from weftline.session import cut
 
 
 def unique_enough(targets: DataFrame, genome: DataFrame, k: int = 31, limit: int = 255) -> DataFrame:
     """Target k-mers seen fewer than ``limit`` times in a reference genome."""
     sets = K.target_set(K.kmer_hits(targets, ("target",), "seq", k))
-    seen = K.count_kmers(K.kmer_hits(genome, ("name",), "seq", k), limit=limit).where(F.col("cnt") >= limit)
+    seen = count_super_kmers(genome, k=k, limit=limit).where(F.col("cnt") >= limit)
     return sets.join(seen.select("kmer"), "kmer", "left_anti")
 
 
 def find_regions(contigs: DataFrame, targets: DataFrame, k: int = 31, cutoff: int = 50, span: int = 1000,
-                 gap: int = 20000, pad: int = 10000) -> DataFrame:
-    """``target, contig, start, end``: dense hits merged over ``gap`` and widened."""
-    sets = K.target_set(K.kmer_hits(targets, ("target",), "seq", k))
+                 gap: int = 20000, pad: int = 10000, genome: DataFrame | None = None) -> DataFrame:
+    """``target, contig, start, end``: dense hits merged over ``gap`` and widened.
+
+    With a reference ``genome`` (``name, seq``) only k-mers that are rare in it count.
+    """
+    sets = K.target_set(K.kmer_hits(targets, ("target",), "seq", k)) if genome is None else unique_enough(targets, genome, k)
     placed = K.kmer_hits(contigs, ("name",), "seq", k).join(sets, "kmer").select(
         "target", F.col("name").alias("contig"), "pos")
     found = I.hotspots(placed, cutoff, span)
@@ -37,5 +41,5 @@ def extract(contigs: DataFrame, regions: DataFrame, strand: str = "+") -> DataFr
                         L.locus_text(F.col("contig").cast("string"), F.col("start"), F.col("end"), F.col("strand")).alias("header"), "seq")
 
 
-def search(contigs: DataFrame, targets: DataFrame, **options: int) -> DataFrame:
+def search(contigs: DataFrame, targets: DataFrame, **options) -> DataFrame:
     return extract(contigs, find_regions(contigs, targets, **options))

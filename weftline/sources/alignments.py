@@ -54,17 +54,48 @@ def gff_to_bed(rows: DataFrame, kind: str) -> DataFrame:
         F.regexp_extract("attributes", r"gene_id=([^;]+)", 1).alias("gene"))
 
 
-def gene_name_pattern(names: list[str]) -> str:
-    """Regular expression for gene names or prefixes; a name ending in a digit must
-    be followed by a letter or a separator so that it does not match longer numbers."""
+# Names whose genes are told apart by more than the name itself.
+GENE_REWRITES = {
+    "C2": "C2[;-]",
+    "C3": "C3[;-]",
+    "C4": "C4[AB]",
+    "CEL": "CEL;",
+    "ETFB": "ETFB;",
+    "GAL": "GAL;",
+    "GGN": "GGN;",
+    "GK": "GK;",
+    "HBB": "HB[BD]",
+    "HLA-D": "HLA-D[^a-zA-Z]*;",
+    "LIX1": "LIX1;",
+    "LPA": "LPA[^R]",
+    "MPI": "MPI;",
+    "PACS": "PACS[12]",
+    "PC": "PC;",
+    "PLEK": "PLEK;",
+    "PPIA": "PPIA;",
+    "PTPRC": "PTPRC;",
+    "SRR": "SRR;",
+    "TNF": "TNF;",
+    "TNKS": "TNKS;",
+}
+
+
+def gene_name_pattern(names: list[str], rewrites: dict[str, str] | None = None) -> str:
+    """Regular expression for gene names or prefixes.
+
+    A name in ``rewrites`` (``GENE_REWRITES`` unless given) stands for its pattern; another one ending in a digit must be
+    followed by a letter or a separator, so that it does not match longer numbers.
+    """
+    known = GENE_REWRITES if rewrites is None else rewrites
+
     def one(name: str) -> str:
-        return name + "[A-Z;.,-]" if name[-1].isdigit() else name
+        return known.get(name) or (name + "[A-Z;.,-]" if name[-1].isdigit() else name)
 
     return "gene_name=(?:" + "|".join(one(n) for n in names) + ")"
 
 
-def genes_named(rows: DataFrame, names: list[str]) -> DataFrame:
-    return rows.where(F.concat(F.col("attributes"), F.lit(";")).rlike(gene_name_pattern(names)))
+def genes_named(rows: DataFrame, names: list[str], rewrites: dict[str, str] | None = None) -> DataFrame:
+    return rows.where(F.concat(F.col("attributes"), F.lit(";")).rlike(gene_name_pattern(names, rewrites)))
 
 
 def read_blast_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -21,6 +21,18 @@ def write_report(df: DataFrame, path: str, header: bool = False) -> None:
         "emptyValue", "").csv(path)
 
 
+def write_in_order(df: DataFrame, order: list[str], path: str, columns: list[str]) -> None:
+    """Tab-separated lines whose files, taken by name, hold the rows in the given order; no task sorts them all."""
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    laid.select(F.concat_ws("\t", *columns).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, line`` over all files of a folder, taken by name."""
+    lines = numbered_lines(spark, path).withColumnRenamed("line_no", "at")
+    return ordinal(lines, ["path", "at"], "line_no", start=0).select("line_no", "line")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """``sample, path`` from two white-space columns."""
     part = F.split(F.trim("value"), r"\s+")
