@@ -373,23 +373,30 @@ def surviving_kmers(kmers: DataFrame, hits: DataFrame, decisions: DataFrame, k:
 def mark_runs(seqs: DataFrame, runs: DataFrame, hard: bool = False) -> DataFrame:
     """Sequences in lower case (or ``n`` when ``hard``) except for the given runs.
 
-    ``runs`` is ``name, start, end``, disjoint; each sequence gathers only its own.
+    ``runs`` is ``name, start, end``, disjoint.  The work goes tile by tile: a tile gathers only the runs that touch it.
     """
-    own = runs.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_r"))
+    from weftline.operators.tiling import STEP, joined_tiles, tile_index
+
+    origin = F.col("tile").cast("bigint") * STEP
+    touched = runs.where("end > start").withColumn("tile", F.explode(F.sequence(
+        F.floor(F.col("start") / STEP).cast("int"), F.floor((F.col("end") - 1) / STEP).cast("int"))))
+    own = touched.groupBy("name", "tile").agg(F.array_sort(F.collect_list(F.struct(
+        F.greatest(F.col("start") - origin, F.lit(0)).cast("int").alias("s"),
+        F.least(F.col("end") - origin, F.lit(STEP)).cast("int").alias("e")))).alias("_r"))
 
     def outside(text: Column) -> Column:
         return F.repeat(F.lit("n"), F.length(text)) if hard else F.lower(text)
 
-    def cut_out(start: Column, end: Column) -> Column:
-        return F.substring(F.col("seq"), start.cast("int") + 1, (end - start).cast("int"))
+    def part(start: Column, end: Column) -> Column:
+        return F.substring("bases", start + 1, end - start)
 
-    zero = F.lit(0).cast("bigint")
-    pieces = F.transform("_r", lambda r, i: F.concat(
-        outside(cut_out(F.coalesce(F.get(F.col("_r"), i - 1)["end"], zero), r["start"])),
-        F.upper(cut_out(r["start"], r["end"]))))
-    tail = outside(cut_out(F.coalesce(F.element_at("_r", -1)["end"], zero), F.length("seq").cast("bigint")))
-    return seqs.join(own, "name", "left").withColumn(
-        "seq", F.concat(F.coalesce(F.array_join(pieces, ""), F.lit("")), tail)).drop("_r")
+    before = F.transform("_r", lambda r, i: F.concat(
+        outside(part(F.coalesce(F.get(F.col("_r"), i - 1)["e"], F.lit(0)), r["s"])), F.upper(part(r["s"], r["e"]))))
+    tail = outside(part(F.coalesce(F.element_at("_r", -1)["e"], F.lit(0)), F.length("bases")))
+    marked = tile_index(seqs).join(own, ["name", "tile"], "left").select(
+        "name", F.col("tile").alias("at"), F.concat(F.coalesce(F.array_join(before, ""), F.lit("")), tail).alias("bases"))
+    whole = joined_tiles(marked).withColumnRenamed("seq", "_marked")
+    return seqs.join(whole, "name", "left").withColumn("seq", F.coalesce("_marked", "seq")).drop("_marked").select(seqs.columns)
 
 
 def mask_by_kmers(seqs: DataFrame, hits: DataFrame, kmers: DataFrame, k: int = 31,
