@@ -58,10 +58,9 @@ def test_equals_brute_force(spark, monkeypatch):
     want = plain(rows, 8)
     assert len(want) > 60 and {r[0] for r in want} == {"en", "de", "und"}
     assert result(spark, rows, 8) == want
-    # Small chunks and tiles, so that both ways of counting and all joins are used.
+    # Small chunks and many bands, so that both ways of counting and all joins are used.
     monkeypatch.setattr(C, "CHUNK_WORDS", 40)
-    monkeypatch.setattr(C, "SIDE", 4)
-    monkeypatch.setattr(C, "DENSE", 5)
+    monkeypatch.setattr(C, "TILE_PAIRS", 30)
     assert result(spark, rows, 8) == want
     assert result(spark, rows, 8, longest=3, top=7) == plain(rows, 8, 3, 7)
 
@@ -76,13 +75,26 @@ def test_odd_tables(spark):
 def test_tiles_equal_plain_count(monkeypatch):
     rng = np.random.default_rng(2)
     left, right = rng.zipf(1.4, 5000) % 300, rng.zipf(1.4, 5000) % 300
-    for side, dense in ((16, 50), (1024, 1 << 16), (1024, 1), (1, 1)):
-        monkeypatch.setattr(C, "SIDE", side)
-        monkeypatch.setattr(C, "DENSE", dense)
-        pairs, counts, code = C.count_tiles(left, right)
-        assert len(set(pairs.tolist())) == len(pairs)
-        assert Counter(zip(left.tolist(), right.tolist())) == {(p >> 32, p & 0xFFFFFFFF): c for p, c in zip(pairs.tolist(), counts.tolist())}
-        assert (pairs[code] == (left << 32 | right)).all()
+    weight = rng.integers(1, 9, 5000)
+    once, heavy = Counter(zip(left.tolist(), right.tolist())), Counter()
+    for i, j, w in zip(left.tolist(), right.tolist(), weight.tolist()):
+        heavy[i, j] += w
+    for cells in (0, 1 << 22):
+        monkeypatch.setattr(C, "DENSE_CELLS", cells)
+        for want, w in ((once, None), (heavy, weight)):
+            pairs, counts = C.count_tile(left, right, w)
+            assert (np.diff(pairs) > 0).all()
+            assert want == {(p >> 32, p & 0xFFFFFFFF): c for p, c in zip(pairs.tolist(), counts.tolist())}
+
+
+def test_packing_is_exact():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 1000):
+        line = rng.integers(-1, 1 << 30, n).astype(np.int32)
+        assert (C._unpack(C._pack(line), np.int32) == line).all()
+        keys, counts = np.unique(rng.integers(0, 1 << 62, n)), rng.integers(1, 1 << 40, n)
+        got = C._unpack_counts(C._pack_counts(keys, counts[:len(keys)]))
+        assert (got[0] == keys).all() and (got[1] == counts[:len(keys)]).all()
 
 
 def test_scores_need_more_than_64_bits(spark):

@@ -1,17 +1,19 @@
 """Phrase collocations by direct-address tiling.
 
 Texts are cut into pieces at punctuation and line ends and pieces into words.  The words of a
-language that occur ``LEAST`` times or more are numbered by falling frequency.  A text is then a row of
-numbers, and neighbouring numbers are the cells of a matrix of pairs, which is cut into square tiles
-of ``SIDE`` words: a tile that many pairs of a chunk fall into is counted with a dense ``bincount``,
-all others as sorted coordinates.  The frequent pairs are numbered by frequency in turn, and
+language that occur ``LEAST`` times or more are numbered by falling frequency.  A text is then a line of
+numbers, and neighbouring numbers are the cells of a matrix of pairs.  The numbers are split into bands of equal
+mass, and two bands make a tile: a tile of few words that many pairs fall into is counted with a dense
+``bincount``, any other one as sorted coordinates.  The frequent pairs are numbered by frequency in turn, and
 neighbouring pairs are counted the same way, which gives phrases of three words, and so on: a
 phrase is frequent only if its first and last parts are.
 
 No table is sent to all tasks.  Texts are held as *chunks* of about ``CHUNK_WORDS`` words of one
-language, as codes of the chunk's own list of entries; Spark adds up the entries of all chunks, numbers the
-frequent ones and joins the numbers back to the lists.  An entry occurs once per chunk at most, so
-no key is hot, and a task holds one chunk at a time (or one document, if that is longer).
+language.  A chunk sends what it counted in a tile as one packed value; Spark brings the values of a tile
+together, which adds them up, and joins the numbers of the frequent pairs back to the values, and these to their
+chunk.  Bands of equal mass bound what a tile can get to about ``TILE_PAIRS`` pairs, whatever the words'
+distribution; a word that is a band of its own gives one cell per chunk.  Words are added up in the same way, by buckets.
+Everything moved is in proportion to the words of the texts.
 
 A candidate is scored at its weakest cut, with exact decimal products.  It is dropped if it lies inside
 a longer candidate that is as frequent; the chain of phrases between the two is as frequent as well, so the
@@ -23,6 +25,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,21 +34,45 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.llm.text import utf8_rows
-from weftline.operators.scan import ordinal
+from weftline.operators.scan import ordinal, prefix_scan
 from weftline.session import cut, ship
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SIDE = 1024
-DENSE = 1 << 16
+# A tile of at most DENSE_CELLS cells is counted densely when a pair falls into one of DENSE_SHARE cells at least.
+DENSE_CELLS = 1 << 22
+DENSE_SHARE = 16
+TILE_PAIRS = 1 << 21
 CHUNK_WORDS = 1 << 20
+# A bucket of words gets what about this much text holds of them: some 200,000 entries of its chunks' lists.
+BUCKET_BYTES = 1 << 23
 SPREAD = 64
 
 # The characters that end a piece; a tab separates words as a blank does.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_ENDS + b"\t", b"\n" * len(_ENDS) + b" ")
-_ENTRY = "chunk bigint, lang string, codes binary, code int, n bigint, "
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, so that small ones cost little."""
+    size = values.dtype.itemsize
+    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, size).T).tobytes(), 1)
+
+
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def _pack_counts(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as differences, and their counts."""
+    return _pack(np.stack((np.diff(keys, prepend=0), counts)).astype(np.int64).reshape(-1))
+
+
+def _unpack_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = _unpack(raw, np.int64).reshape(2, -1)
+    return np.cumsum(steps), counts
 
 
 class _Codes(dict):
@@ -59,24 +86,27 @@ class _Codes(dict):
         return code
 
 
-def _rows(chunk: int, lang: str, codes: np.ndarray, counts: np.ndarray, entries: pa.Array, name: str) -> Iterator[pa.RecordBatch]:
-    """A row with the codes of a chunk, and a row per entry of its list."""
-    m = len(counts)
-    names = ["chunk", "lang", "codes", "code", "n", name]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([chunk]), pa.array([lang]), pa.array([codes.astype("<i4").tobytes()], pa.binary()), pa.nulls(1, pa.int32()),
-         pa.nulls(1, pa.int64()), pa.nulls(1, entries.type)], names)
-    for at in range(0, m, 1 << 16):
-        part = min(m, at + (1 << 16)) - at
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(part, chunk, np.int64)), pa.array([lang] * part, pa.string()), pa.nulls(part, pa.binary()),
-             pa.array(np.arange(at, at + part, dtype=np.int32)), pa.array(counts[at:at + part].astype(np.int64)),
-             entries.slice(at, part)], names)
-
+def word_chunks(docs: DataFrame, buckets: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``chunk, lang, bucket, codes, words, counts``: packed chunks of the texts.
 
-def word_chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Chunks of the texts: codes in the order of the text, -1 between pieces, and the words they stand for."""
+    A chunk is one row with its codes in the order of the text (-1 between pieces), and one row per bucket of words with
+    the codes, the words themselves and how often each occurs in the chunk.
+    """
     ship(docs.sparkSession)
+    names = ["chunk", "lang", "bucket", "codes", "words", "counts"]
+
+    def rows(chunk: int, lang: str, codes: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
+        counts = np.bincount(codes[codes >= 0], minlength=len(words))
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+        out = [(None, _pack(codes), None, None)]
+        for part in np.split(order, ends[:-1]):
+            out.append((int(bucket[part[0]]), _pack(part.astype(np.int32)), zlib.compress(b"\n".join([words[i] for i in part]), 1),
+                        _pack(counts[part].astype(np.int32))))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * len(out)), pa.array([lang] * len(out)), pa.array([r[0] for r in out], pa.int64()),
+             *[pa.array([r[i] for r in out], pa.binary()) for i in (1, 2, 3)]], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[_Codes, list[np.ndarray]]] = {}
@@ -85,11 +115,9 @@ def word_chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal number, size
             for name, (known, parts) in held.items():
-                codes = np.concatenate(parts) - 2
                 words = list(known)[2:]
                 if words:
-                    counts = np.bincount(codes[codes >= 0], minlength=len(words))
-                    yield from _rows(number, name, codes, counts, pa.array(words, pa.binary()).cast(pa.string()), "word")
+                    yield rows(number, name, np.concatenate(parts) - np.int32(2), words)
                     number += 1
             held.clear()
             size = 0
@@ -105,73 +133,201 @@ def word_chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
                         yield from flush()
         yield from flush()
     return (docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-            .mapInArrow(run, _ENTRY + "word string"))
+            .mapInArrow(run, "chunk bigint, lang string, bucket bigint, codes binary, words binary, counts binary"))
 
 
-def count_tiles(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different pairs (left number in the high half), how often each occurs, and which one stands at every place."""
-    pair = left.astype(np.int64) << 32 | right
-    tile = (left // SIDE).astype(np.int64) << 32 | (right // SIDE)
-    tiles, size = np.unique(tile, return_counts=True)
-    code = np.empty(len(pair), np.int64)
-    keys, counts, total = [], [], 0
-    rest = np.ones(len(pair), bool)
-    for dense in tiles[size >= DENSE]:
-        at = np.flatnonzero(tile == dense)
-        rest[at] = False
-        cell = (left[at] % SIDE).astype(np.int64) * SIDE + right[at] % SIDE
-        seen = np.bincount(cell, minlength=SIDE * SIDE)
-        used = np.flatnonzero(seen)
-        place = np.empty(SIDE * SIDE, np.int64)
-        place[used] = np.arange(total, total + len(used))
-        code[at] = place[cell]
-        keys.append(((dense >> 32) * SIDE + used // SIDE) << 32 | ((dense & 0xFFFFFFFF) * SIDE + used % SIDE))
-        counts.append(seen[used])
-        total += len(used)
-    sparse, where, seen = np.unique(pair[rest], return_inverse=True, return_counts=True)
-    code[rest] = where + total
-    return np.concatenate([*keys, sparse]), np.concatenate([*counts, seen]), code
+def _line(numbers: np.ndarray) -> bytes:
+    """A line of numbers, in which -1 stands for any stretch without one."""
+    gone = numbers < 0
+    return _pack(numbers[~(gone & np.concatenate(([True], gone[:-1])))].astype(np.int32))
 
 
-def pair_chunks(numbered: DataFrame) -> DataFrame:
-    """Chunks of neighbouring numbers from ``chunk, lang, codes, known``; ``known`` lists the number of each frequent code."""
-    ship(numbered.sparkSession)
+def _lines(rows: DataFrame, numbers) -> DataFrame:
+    """``chunk, lang, line`` from ``chunk, lang``, a packed line and a list; ``numbers`` makes the new numbers from the two."""
+    ship(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(2)[i].as_py(), "<i4")
-                known = batch.column(3)[i].values
-                # One place more, which code -1 reads.
-                number = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)
-                number[known.field(0).to_numpy()] = known.field(1).to_numpy()
-                number[-1] = -1
-                line = number[codes]
-                both = (line[:-1] >= 0) & (line[1:] >= 0)
-                at = np.flatnonzero(both)
-                if not len(at):
-                    continue
-                pairs, counts, code = count_tiles(line[at], line[at + 1])
-                # Places without a pair shrink to one break; a pair goes on to the next one if it starts one word later.
-                apart = np.flatnonzero(np.diff(at) > 1)
-                codes = np.insert(code, apart + 1, -1)
-                yield from _rows(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), codes, counts, pa.array(pairs), "pair")
-    return numbered.select("chunk", "lang", "codes", "known").mapInArrow(run, _ENTRY + "pair bigint")
+                line = numbers(_unpack(batch.column(2)[i].as_py(), np.int32), batch.column(3)[i].values)
+                if (line >= 0).any():
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
+                                                      pa.array([_line(line)], pa.binary())], ["chunk", "lang", "line"])
+    return rows.mapInArrow(run, "chunk bigint, lang string, line binary")
 
 
-def frequent(chunks: DataFrame, entry: str, least: int) -> DataFrame:
-    """``lang, entry, f, id``: what occurs ``least`` times or more, numbered by falling frequency per language."""
-    counted = chunks.where("code IS NOT NULL").groupBy("lang", entry).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+def _ranked(counted: DataFrame, entry: str) -> DataFrame:
+    """The counted entries with numbers by falling frequency per language."""
     ordered = cut(counted.withColumn("behind", -F.col("f")))
-    return cut(ordinal(ordered, ["behind", entry], "id", ["lang"], 0).select("lang", entry, "f", "id"))
+    return cut(ordinal(ordered, ["behind", entry], "id", ["lang"], 0).drop("behind"))
+
+
+def counted_words(chunks: DataFrame, least: int) -> DataFrame:
+    """``lang, bucket, total, word, f``: the words of each bucket that occur ``least`` times or more, and one row with a
+    null word; all carry the number of words that the bucket has in all."""
+    ship(chunks.sparkSession)
+
+    def add(group: pa.Table) -> pa.Table:
+        found: dict[bytes, int] = {}
+        for words, counts in zip(group.column("words").to_pylist(), group.column("counts").to_pylist()):
+            for word, n in zip(zlib.decompress(words).split(b"\n"), _unpack(counts, np.int32).tolist()):
+                found[word] = found.get(word, 0) + n
+        total, often = sum(found.values()), {w: n for w, n in found.items() if n >= least}
+        m = len(often) + 1
+        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * m, pa.string()),
+                         "bucket": pa.array([group.column("bucket")[0].as_py()] * m, pa.int64()), "total": pa.array([total] * m, pa.int64()),
+                         "word": pa.array([None, *often], pa.binary()).cast(pa.string()), "f": pa.array([None, *often.values()], pa.int64())})
+    return (chunks.where("bucket IS NOT NULL").select("lang", "bucket", "words", "counts").groupBy("lang", "bucket")
+            .applyInArrow(add, "lang string, bucket bigint, total bigint, word string, f bigint"))
+
 
+def word_lines(chunks: DataFrame, known: DataFrame) -> DataFrame:
+    """The chunks as lines of word numbers; other words are gaps."""
+    lists = known.groupBy("lang", "bucket").agg(F.collect_list(F.struct("word", "id")).alias("known"))
 
-def _numbered(chunks: DataFrame, known: DataFrame, entry: str) -> DataFrame:
-    """The chunks' codes with the numbers of their frequent entries."""
-    entries = chunks.where("code IS NOT NULL").select("chunk", "lang", "code", entry)
-    lists = (entries.join(known.select("lang", entry, "id"), ["lang", entry]).groupBy("chunk")
-             .agg(F.collect_list(F.struct("code", F.col("id").cast("bigint").alias("id"))).alias("known")))
-    return chunks.where("codes IS NOT NULL").select("chunk", "lang", "codes").join(lists, "chunk")
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, numbers = [], []
+            for i in range(batch.num_rows):
+                pairs = batch.column(3)[i].values
+                number = dict(zip(utf8_rows(pairs.field(0)), pairs.field(1).to_pylist()))
+                words = zlib.decompress(batch.column(2)[i].as_py()).split(b"\n")
+                mine = np.fromiter((number.get(w, -1) for w in words), np.int32, len(words))
+                codes.append(_pack(_unpack(batch.column(1)[i].as_py(), np.int32)[mine >= 0]))
+                numbers.append(_pack(mine[mine >= 0]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary()), pa.array(numbers, pa.binary())],
+                                             ["chunk", "codes", "ids"])
+    listed = chunks.where("bucket IS NOT NULL").join(lists, ["lang", "bucket"])
+    answers = (listed.select("chunk", "codes", "words", "known").mapInArrow(answer, "chunk bigint, codes binary, ids binary")
+               .groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids")).alias("held")))
+
+    def numbers(codes: np.ndarray, held: pa.Array) -> np.ndarray:
+        # One place more, which code -1 reads.
+        number = np.full(int(codes.max(initial=-1)) + 2, -1, np.int32)
+        for mine, ids in zip(held.field(0).to_pylist(), held.field(1).to_pylist()):
+            number[_unpack(mine, np.int32)] = _unpack(ids, np.int32)
+        return number[codes]
+    return _lines(chunks.where("bucket IS NULL").select("chunk", "lang", "codes").join(answers, "chunk"), numbers)
+
+
+def bands(known: DataFrame) -> dict[str, np.ndarray]:
+    """First numbers of the bands of each language: as many bands of equal mass as keep a tile near ``TILE_PAIRS`` pairs.
+
+    Their number grows with the root of the words; they are the only thing that goes through the driver.
+    """
+    mass = prefix_scan(known.select("lang", "id", "f"), ["lang"], "id", F.floor(F.col("id") / (1 << 16)), F.col("f"), "sum", "before",
+                       inclusive=False)
+    whole = known.groupBy("lang").agg(F.sum("f").alias("total"))
+    count = F.ceil(F.sqrt(F.col("total") / TILE_PAIRS))
+    place = F.floor(F.coalesce("before", F.lit(0)) * count / F.col("total"))
+    firsts = mass.join(whole, "lang").groupBy("lang", place.alias("band")).agg(F.min("id").alias("first")).collect()
+    found: dict[str, list[int]] = {}
+    for row in firsts:
+        found.setdefault(row["lang"], []).append(row["first"])
+    return {lang: np.array(sorted(f), np.int64) for lang, f in found.items()}
+
+
+def count_tile(left: np.ndarray, right: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs in order (left number in the high half) and the sum of their weights (1 each without)."""
+    low_l, low_r = int(left.min()), int(right.min())
+    wide = int(right.max()) - low_r + 1
+    cells = (int(left.max()) - low_l + 1) * wide
+    if cells <= DENSE_CELLS and cells <= len(left) * DENSE_SHARE:
+        place = (left.astype(np.int64) - low_l) * wide + (right - low_r)
+        # Sums stay below 2^53, up to which floating point is exact.
+        seen = np.bincount(place, weight, cells)
+        used = np.flatnonzero(seen)
+        return (used // wide + low_l) << 32 | (used % wide + low_r), seen[used].astype(np.int64)
+    pair = left.astype(np.int64) << 32 | right
+    if weight is None:
+        return np.unique(pair, return_counts=True)
+    order = np.argsort(pair, kind="stable")
+    pair, weight = pair[order], weight[order]
+    first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+    return pair[first], np.add.reduceat(weight, first)
+
+
+def _neighbours(line: np.ndarray) -> np.ndarray:
+    """Places whose number has a number right after it."""
+    return np.flatnonzero((line[:-1] >= 0) & (line[1:] >= 0))
+
+
+def tile_counts(lines: DataFrame, edges: dict[str, np.ndarray]) -> DataFrame:
+    """``lang, tile, chunk, counts``: what each chunk counted in each tile, packed."""
+    ship(lines.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                line = _unpack(batch.column(2)[i].as_py(), np.int32)
+                at = _neighbours(line)
+                if not len(at):
+                    continue
+                lang = batch.column(1)[i].as_py()
+                first = edges[lang]
+                left, right = line[at].astype(np.int64), line[at + 1].astype(np.int64)
+                tile = (np.searchsorted(first, left, "right") - 1) * len(first) + np.searchsorted(first, right, "right") - 1
+                order = np.argsort(tile.astype(np.int16) if len(first) < 181 else tile, kind="stable")
+                tile, left, right = tile[order], left[order], right[order]
+                ends = np.flatnonzero(np.concatenate((tile[1:] != tile[:-1], [True]))) + 1
+                starts = np.concatenate(([0], ends[:-1]))
+                packed = [_pack_counts(*count_tile(left[s:e], right[s:e])) for s, e in zip(starts, ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(packed), pa.string()), pa.array(tile[starts]),
+                     pa.array([batch.column(0)[i].as_py()] * len(packed), pa.int64()), pa.array(packed, pa.binary())],
+                    ["lang", "tile", "chunk", "counts"])
+    return lines.select("chunk", "lang", "line").mapInArrow(run, "lang string, tile bigint, chunk bigint, counts binary")
+
+
+def frequent_pairs(counts: DataFrame, least: int) -> DataFrame:
+    """``lang, tile, pair, f, id``: pairs that occur ``least`` times or more, numbered by falling frequency."""
+    ship(counts.sparkSession)
+
+    def add(group: pa.Table) -> pa.Table:
+        held = [_unpack_counts(raw) for raw in group.column("counts").to_pylist()]
+        keys, n = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+        pairs, f = count_tile(keys >> 32, keys & 0xFFFFFFFF, n)
+        often = f >= least
+        m = int(often.sum())
+        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * m, pa.string()),
+                         "tile": pa.array(np.full(m, group.column("tile")[0].as_py(), np.int64)),
+                         "pair": pa.array(pairs[often]), "f": pa.array(f[often])})
+    counted = counts.select("lang", "tile", "counts").groupBy("lang", "tile").applyInArrow(add, "lang string, tile bigint, pair bigint, f bigint")
+    return _ranked(counted, "pair")
+
+
+def pair_lines(lines: DataFrame, counts: DataFrame, known: DataFrame) -> DataFrame:
+    """The lines of numbers of frequent pairs; the pairs of a chunk's tile meet the tile's frequent ones, and then the chunk."""
+    lists = known.groupBy("lang", "tile").agg(F.collect_list(F.struct("pair", "id")).alias("known"))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, numbers = [], []
+            for i in range(batch.num_rows):
+                mine = _unpack_counts(batch.column(1)[i].as_py())[0]
+                pairs = batch.column(2)[i].values
+                pair, number = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
+                found, where, _ = np.intersect1d(pair, mine, assume_unique=True, return_indices=True)
+                keys.append(_pack(np.diff(found, prepend=0)))
+                numbers.append(_pack(number[where].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(numbers, pa.binary())],
+                                             ["chunk", "keys", "ids"])
+    answers = counts.join(lists, ["lang", "tile"]).select("chunk", "counts", "known").mapInArrow(answer, "chunk bigint, keys binary, ids binary")
+
+    def numbers(line: np.ndarray, held: pa.Array) -> np.ndarray:
+        pair = np.concatenate([np.cumsum(_unpack(raw, np.int64)) for raw in held.field(0).to_pylist()])
+        number = np.concatenate([_unpack(raw, np.int32) for raw in held.field(1).to_pylist()])
+        out = np.full(max(0, len(line) - 1), -1, np.int32)
+        at = _neighbours(line)
+        if len(pair) and len(at):
+            order = np.argsort(pair)
+            pair, number = pair[order], number[order]
+            mine = line[at].astype(np.int64) << 32 | line[at + 1]
+            where = np.minimum(np.searchsorted(pair, mine), len(pair) - 1)
+            out[at] = np.where(pair[where] == mine, number[where], -1)
+        return out
+    lists = answers.groupBy("chunk").agg(F.collect_list(F.struct("keys", "ids")).alias("held"))
+    return _lines(lines.join(lists, "chunk").select("chunk", "lang", "line", "held"), numbers)
 
 
 def _phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -197,17 +353,21 @@ def _weakest_cut(a: str, n: str, starts: str, rests: str) -> Column:
 
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """``lang, phrase, a, l, r, n, score``: all phrases of 2 to ``longest`` words that are frequent and not inside one as frequent."""
-    chunks, entry = cut(word_chunks(docs, text, lang)), "word"
-    total = chunks.where("code IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("total"))
-    known = frequent(chunks, entry, least)
+    letters = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = cut(word_chunks(docs, letters // BUCKET_BYTES + 1, text, lang))
+    words = cut(counted_words(chunks, least))
+    total = words.where("word IS NULL").groupBy("lang").agg(F.sum("total").alias("total"))
+    known = _ranked(words.where("word IS NOT NULL").select("lang", "bucket", "word", "f"), "word")
+    lines = cut(word_lines(chunks, known))
     none = F.array().cast("array<bigint>")
     level = known.select("lang", "id", "f", F.col("word").alias("phrase"), F.col("word").alias("last"),
                          none.alias("starts"), none.alias("rests"))
     kept = []
     for k in range(2, longest + 1):
-        chunks = cut(pair_chunks(_numbered(chunks, known, entry)))
-        entry = "pair"
-        known = frequent(chunks, entry, least)
+        counts = cut(tile_counts(lines, bands(known)))
+        known = frequent_pairs(counts, least)
+        if k < longest:
+            lines = cut(pair_lines(lines, counts, known))
         longer = cut(_phrases(known, level))
         if k > 2:
             inside = (longer.where("f = first_f").select("lang", F.col("i").alias("id"))
