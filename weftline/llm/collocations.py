@@ -156,58 +156,90 @@ def _lines(rows: DataFrame, numbers) -> DataFrame:
     return rows.mapInArrow(run, "chunk bigint, lang string, line binary")
 
 
-def _ranked(counted: DataFrame, entry: str) -> DataFrame:
-    """The counted entries with numbers by falling frequency per language."""
-    ordered = cut(counted.withColumn("behind", -F.col("f")))
-    return cut(ordinal(ordered, ["behind", entry], "id", ["lang"], 0).drop("behind"))
+# What a group gives back: one row per frequent entry (with its place in the group's list), and one per chunk with what
+# of the chunk is frequent and the places in the list; a bucket of words tells its number of words in all as well.
+_COUNTED = "lang string, tile bigint, place int, {entry}, f bigint, total bigint, chunk bigint, held binary, places binary"
+
+
+def _counted(group: pa.Table, entries: pa.Array, f: np.ndarray, total: int | None, held: list[bytes], places: list[np.ndarray],
+             name: str) -> pa.Table:
+    """The rows of a group: entries first, then its chunks."""
+    m, n = len(entries), group.num_rows
+    keep = [i for i in range(n) if len(places[i])]
+    rows = m + len(keep) + (total is not None)
+
+    def column(first: pa.Array, last: pa.Array, kind: pa.DataType) -> pa.Array:
+        middle = pa.nulls(rows - len(first) - len(last), kind)
+        return pa.concat_arrays([first.cast(kind), middle, last.cast(kind)])
+    none, chunk = pa.nulls(0), group.column("chunk").combine_chunks()
+    return pa.table({
+        "lang": pa.array([group.column("lang")[0].as_py()] * rows, pa.string()),
+        "tile": pa.array([group.column("tile")[0].as_py()] * rows, pa.int64()),
+        "place": column(pa.array(np.arange(m, dtype=np.int32)), none, pa.int32()), name: column(entries, none, entries.type),
+        "f": column(pa.array(f), none, pa.int64()),
+        "total": pa.array([None] * m + ([total] if total is not None else []) + [None] * len(keep), pa.int64()),
+        "chunk": column(none, chunk.take(pa.array(keep, pa.int64())), pa.int64()),
+        "held": column(none, pa.array([held[i] for i in keep], pa.binary()), pa.binary()),
+        "places": column(none, pa.array([_pack(places[i].astype(np.int32)) for i in keep], pa.binary()), pa.binary())})
+
+
+def ranked_entries(counted: DataFrame, entry: str) -> DataFrame:
+    """``lang, tile, place, entry, f, id``: the frequent entries with numbers by falling frequency per language."""
+    found = counted.where("place IS NOT NULL").select("lang", "tile", "place", entry, "f", (-F.col("f")).alias("behind"))
+    return cut(ordinal(cut(found), ["behind", entry], "id", ["lang"], 0).drop("behind"))
+
+
+def _answers(counted: DataFrame, known: DataFrame) -> DataFrame:
+    """``chunk, answers``: per chunk, what of it is frequent in each group, with the numbers."""
+    ship(counted.sparkSession)
+    lists = known.groupBy("lang", "tile").agg(F.collect_list(F.struct("place", "id")).alias("known"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = []
+            for i in range(batch.num_rows):
+                pairs = batch.column(3)[i].values
+                number = np.empty(len(pairs), np.int32)
+                number[pairs.field(0).to_numpy()] = pairs.field(1).to_numpy()
+                ids.append(_pack(number[_unpack(batch.column(2)[i].as_py(), np.int32)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["chunk", "held", "ids"])
+    rows = counted.where("chunk IS NOT NULL").join(lists, ["lang", "tile"]).select("chunk", "held", "places", "known")
+    return rows.mapInArrow(run, "chunk bigint, held binary, ids binary").groupBy("chunk").agg(F.collect_list(F.struct("held", "ids")).alias("answers"))
 
 
 def counted_words(chunks: DataFrame, least: int) -> DataFrame:
-    """``lang, bucket, total, word, f``: the words of each bucket that occur ``least`` times or more, and one row with a
-    null word; all carry the number of words that the bucket has in all."""
+    """The words of each bucket that occur ``least`` times or more, the codes they have in each chunk, and the bucket's total."""
     ship(chunks.sparkSession)
 
     def add(group: pa.Table) -> pa.Table:
         found: dict[bytes, int] = {}
-        for words, counts in zip(group.column("words").to_pylist(), group.column("counts").to_pylist()):
-            for word, n in zip(zlib.decompress(words).split(b"\n"), _unpack(counts, np.int32).tolist()):
+        texts = [zlib.decompress(w).split(b"\n") for w in group.column("words").to_pylist()]
+        for words, counts in zip(texts, group.column("counts").to_pylist()):
+            for word, n in zip(words, _unpack(counts, np.int32).tolist()):
                 found[word] = found.get(word, 0) + n
-        total, often = sum(found.values()), {w: n for w, n in found.items() if n >= least}
-        m = len(often) + 1
-        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * m, pa.string()),
-                         "bucket": pa.array([group.column("bucket")[0].as_py()] * m, pa.int64()), "total": pa.array([total] * m, pa.int64()),
-                         "word": pa.array([None, *often], pa.binary()).cast(pa.string()), "f": pa.array([None, *often.values()], pa.int64())})
-    return (chunks.where("bucket IS NOT NULL").select("lang", "bucket", "words", "counts").groupBy("lang", "bucket")
-            .applyInArrow(add, "lang string, bucket bigint, total bigint, word string, f bigint"))
-
-
-def word_lines(chunks: DataFrame, known: DataFrame) -> DataFrame:
+        often = [w for w, n in found.items() if n >= least]
+        place = dict(zip(often, range(len(often))))
+        held, places = [], []
+        for words, codes in zip(texts, group.column("codes").to_pylist()):
+            mine = np.fromiter((place.get(w, -1) for w in words), np.int32, len(words))
+            held.append(_pack(_unpack(codes, np.int32)[mine >= 0]))
+            places.append(mine[mine >= 0])
+        return _counted(group, pa.array(often, pa.binary()).cast(pa.string()), np.array([found[w] for w in often], np.int64),
+                        sum(found.values()), held, places, "word")
+    listed = chunks.where("bucket IS NOT NULL").select("lang", F.col("bucket").alias("tile"), "chunk", "codes", "words", "counts")
+    return listed.groupBy("lang", "tile").applyInArrow(add, _COUNTED.format(entry="word string"))
+
+
+def word_lines(chunks: DataFrame, counted: DataFrame, known: DataFrame) -> DataFrame:
     """The chunks as lines of word numbers; other words are gaps."""
-    lists = known.groupBy("lang", "bucket").agg(F.collect_list(F.struct("word", "id")).alias("known"))
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes, numbers = [], []
-            for i in range(batch.num_rows):
-                pairs = batch.column(3)[i].values
-                number = dict(zip(utf8_rows(pairs.field(0)), pairs.field(1).to_pylist()))
-                words = zlib.decompress(batch.column(2)[i].as_py()).split(b"\n")
-                mine = np.fromiter((number.get(w, -1) for w in words), np.int32, len(words))
-                codes.append(_pack(_unpack(batch.column(1)[i].as_py(), np.int32)[mine >= 0]))
-                numbers.append(_pack(mine[mine >= 0]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary()), pa.array(numbers, pa.binary())],
-                                             ["chunk", "codes", "ids"])
-    listed = chunks.where("bucket IS NOT NULL").join(lists, ["lang", "bucket"])
-    answers = (listed.select("chunk", "codes", "words", "known").mapInArrow(answer, "chunk bigint, codes binary, ids binary")
-               .groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids")).alias("held")))
-
-    def numbers(codes: np.ndarray, held: pa.Array) -> np.ndarray:
+    def numbers(codes: np.ndarray, answers: pa.Array) -> np.ndarray:
         # One place more, which code -1 reads.
         number = np.full(int(codes.max(initial=-1)) + 2, -1, np.int32)
-        for mine, ids in zip(held.field(0).to_pylist(), held.field(1).to_pylist()):
+        for mine, ids in zip(answers.field(0).to_pylist(), answers.field(1).to_pylist()):
             number[_unpack(mine, np.int32)] = _unpack(ids, np.int32)
         return number[codes]
-    return _lines(chunks.where("bucket IS NULL").select("chunk", "lang", "codes").join(answers, "chunk"), numbers)
+    coded = chunks.where("bucket IS NULL").select("chunk", "lang", "codes")
+    return _lines(coded.join(_answers(counted, known), "chunk"), numbers)
 
 
 def bands(known: DataFrame) -> dict[str, np.ndarray]:
@@ -279,44 +311,29 @@ def tile_counts(lines: DataFrame, edges: dict[str, np.ndarray]) -> DataFrame:
     return lines.select("chunk", "lang", "line").mapInArrow(run, "lang string, tile bigint, chunk bigint, counts binary")
 
 
-def frequent_pairs(counts: DataFrame, least: int) -> DataFrame:
-    """``lang, tile, pair, f, id``: pairs that occur ``least`` times or more, numbered by falling frequency."""
+def counted_pairs(counts: DataFrame, least: int) -> DataFrame:
+    """The pairs of each tile that occur ``least`` times or more, and those that each chunk has."""
     ship(counts.sparkSession)
 
     def add(group: pa.Table) -> pa.Table:
-        held = [_unpack_counts(raw) for raw in group.column("counts").to_pylist()]
-        keys, n = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+        mine = [_unpack_counts(raw) for raw in group.column("counts").to_pylist()]
+        keys, n = np.concatenate([k for k, _ in mine]), np.concatenate([c for _, c in mine])
         pairs, f = count_tile(keys >> 32, keys & 0xFFFFFFFF, n)
-        often = f >= least
-        m = int(often.sum())
-        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * m, pa.string()),
-                         "tile": pa.array(np.full(m, group.column("tile")[0].as_py(), np.int64)),
-                         "pair": pa.array(pairs[often]), "f": pa.array(f[often])})
-    counted = counts.select("lang", "tile", "counts").groupBy("lang", "tile").applyInArrow(add, "lang string, tile bigint, pair bigint, f bigint")
-    return _ranked(counted, "pair")
-
-
-def pair_lines(lines: DataFrame, counts: DataFrame, known: DataFrame) -> DataFrame:
-    """The lines of numbers of frequent pairs; the pairs of a chunk's tile meet the tile's frequent ones, and then the chunk."""
-    lists = known.groupBy("lang", "tile").agg(F.collect_list(F.struct("pair", "id")).alias("known"))
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, numbers = [], []
-            for i in range(batch.num_rows):
-                mine = _unpack_counts(batch.column(1)[i].as_py())[0]
-                pairs = batch.column(2)[i].values
-                pair, number = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
-                found, where, _ = np.intersect1d(pair, mine, assume_unique=True, return_indices=True)
-                keys.append(_pack(np.diff(found, prepend=0)))
-                numbers.append(_pack(number[where].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(numbers, pa.binary())],
-                                             ["chunk", "keys", "ids"])
-    answers = counts.join(lists, ["lang", "tile"]).select("chunk", "counts", "known").mapInArrow(answer, "chunk bigint, keys binary, ids binary")
-
-    def numbers(line: np.ndarray, held: pa.Array) -> np.ndarray:
-        pair = np.concatenate([np.cumsum(_unpack(raw, np.int64)) for raw in held.field(0).to_pylist()])
-        number = np.concatenate([_unpack(raw, np.int32) for raw in held.field(1).to_pylist()])
+        pairs, f = pairs[f >= least], f[f >= least]
+        held, places = [], []
+        for keys, _ in mine:
+            both, place, _ = np.intersect1d(pairs, keys, assume_unique=True, return_indices=True)
+            held.append(_pack(np.diff(both, prepend=0)))
+            places.append(place)
+        return _counted(group, pa.array(pairs), f, None, held, places, "pair")
+    return counts.groupBy("lang", "tile").applyInArrow(add, _COUNTED.format(entry="pair bigint"))
+
+
+def pair_lines(lines: DataFrame, counted: DataFrame, known: DataFrame) -> DataFrame:
+    """The lines of numbers of frequent pairs."""
+    def numbers(line: np.ndarray, answers: pa.Array) -> np.ndarray:
+        pair = np.concatenate([np.cumsum(_unpack(raw, np.int64)) for raw in answers.field(0).to_pylist()])
+        number = np.concatenate([_unpack(raw, np.int32) for raw in answers.field(1).to_pylist()])
         out = np.full(max(0, len(line) - 1), -1, np.int32)
         at = _neighbours(line)
         if len(pair) and len(at):
@@ -326,8 +343,7 @@ def pair_lines(lines: DataFrame, counts: DataFrame, known: DataFrame) -> DataFra
             where = np.minimum(np.searchsorted(pair, mine), len(pair) - 1)
             out[at] = np.where(pair[where] == mine, number[where], -1)
         return out
-    lists = answers.groupBy("chunk").agg(F.collect_list(F.struct("keys", "ids")).alias("held"))
-    return _lines(lines.join(lists, "chunk").select("chunk", "lang", "line", "held"), numbers)
+    return _lines(lines.select("chunk", "lang", "line").join(_answers(counted, known), "chunk"), numbers)
 
 
 def _phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -355,19 +371,19 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     """``lang, phrase, a, l, r, n, score``: all phrases of 2 to ``longest`` words that are frequent and not inside one as frequent."""
     letters = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = cut(word_chunks(docs, letters // BUCKET_BYTES + 1, text, lang))
-    words = cut(counted_words(chunks, least))
-    total = words.where("word IS NULL").groupBy("lang").agg(F.sum("total").alias("total"))
-    known = _ranked(words.where("word IS NOT NULL").select("lang", "bucket", "word", "f"), "word")
-    lines = cut(word_lines(chunks, known))
+    counted = cut(counted_words(chunks, least))
+    total = counted.where("total IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("total"))
+    known = ranked_entries(counted, "word")
+    lines = cut(word_lines(chunks, counted, known))
     none = F.array().cast("array<bigint>")
     level = known.select("lang", "id", "f", F.col("word").alias("phrase"), F.col("word").alias("last"),
                          none.alias("starts"), none.alias("rests"))
     kept = []
     for k in range(2, longest + 1):
-        counts = cut(tile_counts(lines, bands(known)))
-        known = frequent_pairs(counts, least)
+        counted = cut(counted_pairs(tile_counts(lines, bands(known)), least))
+        known = ranked_entries(counted, "pair")
         if k < longest:
-            lines = cut(pair_lines(lines, counts, known))
+            lines = cut(pair_lines(lines, counted, known))
         longer = cut(_phrases(known, level))
         if k > 2:
             inside = (longer.where("f = first_f").select("lang", F.col("i").alias("id"))
