@@ -61,7 +61,7 @@ def corpus():
 def test_clusters_equal_all_pairs(spark, monkeypatch):
     from weftline.llm import crowds
     docs = corpus()
-    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumnRenamed("n", "n")
+    frame = spark.createDataFrame([(*d, 7, "x") for d in docs], "doc_id long, text string, pos int, component string")
     for size in (50_000, 400):  # one cell per crowd, and many
         monkeypatch.setattr(crowds, "CELL_ITEMS", size)
         got = {tuple(r) for r in P.repeated_passages(frame, recall=0.9999999).collect()}
@@ -133,3 +133,56 @@ def test_one_document_is_sketched_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(P, "_sketch", sketch)
     pieces = {tuple(r) for r in P.sketches(docs, "doc_id", "text", 80, 5, 25, 0.9).collect()}
     assert pieces == whole and len(whole) == 40
+
+
+def test_removed_lines_keep_nothing_alive(spark):
+    """A line that goes as a near copy is no first place of a run: its own words would be nowhere then."""
+    rng = random.Random(14)
+    first = line(rng, 200).split()
+    second = [w if not 60 <= i < 66 else f"changed{i}" for i, w in enumerate(first)]
+    third = f"{line(rng, 500)} {' '.join(second[40:120])} {line(rng, 300)}"
+    frame = spark.createDataFrame([(1, " ".join(first)), (2, " ".join(second)), (3, third)], "doc_id long, text string")
+    found = P.repeats(frame)
+    rows = found.collect()
+    assert {(r.doc, r.removed) for r in rows if r.word is None} == {(1, False), (2, True)}
+    kept = {r.doc_id: r.text for r in P.without_repeats(frame, found).collect()}
+    assert kept[1] == " ".join(first) and kept[2] == ""
+    assert all(f"changed{i}" in kept[3] for i in range(60, 66))
+
+
+def test_every_removed_run_stays_somewhere(spark):
+    """Each word of a removed run is left in some document, at the same place of 25 words in a row."""
+    rng = random.Random(15)
+    shared = [line(rng, n).split() for n in (50, 60, 90, 140)]
+    docs = []
+    for d in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            s = rng.choice(shared)
+            a = rng.randint(0, len(s) - 50)
+            words = s[a:a + rng.randint(50, len(s))]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                words = [*words[:(i := rng.randrange(len(words)))], line(rng, 1), *words[i + 1:]]
+            parts.append((line(rng, rng.choice([0, 5, 30])) + rng.choice([" ", "\n"]) + " ".join(words)).strip())
+        docs.append((d, rng.choice([" ", "\n"]).join(parts)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = P.repeats(frame).collect()
+    text = {d: t.split() for d, t in docs}
+    begin = {d: [sum(len(x.split()) for x in t.split("\n")[:i]) for i in range(t.count("\n") + 2)] for d, t in docs}
+    gone = {d: set() for d in text}
+    for r in rows:
+        if r.removed:
+            at = begin[r.doc][r.pos] if r.word is None else r.word
+            gone[r.doc] |= set(range(at, at + r.n_words))
+    left = {}
+    for d, words in text.items():
+        for i, w in enumerate(words):
+            if i not in gone[d]:
+                left.setdefault(w, []).append((d, i))
+    runs = [r for r in rows if r.removed and r.word is not None]
+    assert len(runs) > 20
+    for r in runs:
+        for i in range(r.word, r.word + r.n_words):
+            around = text[r.doc]
+            assert any(words[j - k:j - k + 25] == around[i - k:i - k + 25] for d, j in left.get(around[i].lower(), [])
+                       for words in [text[d]] for k in range(25) if j >= k and i >= k and len(around[i - k:i - k + 25]) == 25), (r, i)

@@ -170,25 +170,37 @@ def _selected(grams: np.ndarray, window: int) -> np.ndarray:
     return at[np.concatenate(([True], at[1:] != at[:-1]))]
 
 
+def _words_and_lines(words: WordHashes, raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a text, and the line each one is in."""
+    parts = [words.of(line) for line in raw.split(b"\n")] if raw else []
+    return np.concatenate([np.empty(0, np.uint64), *parts]), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+
+
 def selected_grams(docs: DataFrame, id_col: str, text: str, width: int, window: int) -> DataFrame:
-    """``doc, word, gram``: the selected hashes of ``width`` words in a row, and the number of the first word."""
+    """``doc, word, gram, line, last_line``: the selected hashes of ``width`` words in a row, the number of the first
+    word, and the lines of the first and the last one."""
     ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            doc, at, grams = [], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            none = np.empty(0, np.int64)
+            doc, at, first, last, grams = [none], [none], [none], [none], [np.empty(0, np.uint64)]
             for id_, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
-                hashes = words.of(raw)
+                hashes, line = _words_and_lines(words, raw)
                 if len(hashes) >= width:
                     all_ = windows(hashes, width)
                     at.append(_selected(all_, window))
                     grams.append(all_[at[-1]])
+                    first.append(line[at[-1]])
+                    last.append(line[at[-1] + width - 1])
                     doc.append(np.full(len(at[-1]), id_, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.empty(0, np.int64), *doc])), pa.array(np.concatenate(at).astype(np.int32)),
-                 pa.array(np.concatenate(grams).view(np.int64))], ["doc", "word", "gram"])
+                [pa.array(np.concatenate(doc)), pa.array(np.concatenate(at).astype(np.int32)),
+                 pa.array(np.concatenate(grams).view(np.int64)), *[pa.array(np.concatenate(c).astype(np.int32)) for c in (first, last)]],
+                ["doc", "word", "gram", "line", "last_line"])
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
-        run, "doc bigint, word int, gram bigint")
+        run, "doc bigint, word int, gram bigint, line int, last_line int")
 
 
 def _chains(matched: DataFrame, width: int) -> DataFrame:
@@ -216,21 +228,24 @@ def _chains(matched: DataFrame, width: int) -> DataFrame:
         run, "doc bigint, a int, b int, first_doc bigint, fa int, fb int, n_docs bigint")
 
 
-def _sides(spans: DataFrame, docs: DataFrame, id_col: str, text: str, reach: int) -> DataFrame:
+def _sides(spans: DataFrame, docs: DataFrame, removed: DataFrame, id_col: str, text: str, reach: int) -> DataFrame:
     """``doc, a, b`` with the hashes of up to ``reach`` words before (nearest first) and after, and the
-    lines of the words from a backwards."""
+    lines of the words from a backwards.  Words of removed lines (``doc, pos``) equal no other word."""
     ship(spans.sparkSession)
     per_doc = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    joined = per_doc.join(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text).alias("text")), "doc")
+    gone = removed.groupBy("doc").agg(F.collect_set("pos").alias("gone"))
+    joined = (per_doc.join(gone, "doc", "left")
+              .join(docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text).alias("text")), "doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             rows, before, after, lines = [], [], [], []
-            for doc, marks, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8_rows(batch.column(2))):
-                parts = [words.of(line) for line in raw.split(b"\n")] if raw else []
-                hashes = np.concatenate([np.empty(0, np.uint64), *parts])
-                line = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            for doc, marks, out, raw in zip(*[batch.column(i).to_pylist() for i in range(3)], utf8_rows(batch.column(3))):
+                hashes, line = _words_and_lines(words, raw)
+                if out:
+                    at = np.flatnonzero(np.isin(line, out))
+                    hashes[at] = mix64(at.astype(np.uint64) ^ mix64(np.full(len(at), doc & 0xFFFFFFFFFFFFFFFF, np.uint64)))
                 for m in marks:
                     a, b = m["a"], m["b"]
                     if b > len(hashes):
@@ -243,7 +258,7 @@ def _sides(spans: DataFrame, docs: DataFrame, id_col: str, text: str, reach: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.int32()) for i in (1, 2)],
                  lists(before), lists(after), lists(lines)], ["doc", "a", "b", "before", "after", "lines"])
-    return joined.select("doc", "spans", "text").mapInArrow(
+    return joined.select("doc", "spans", "gone", "text").mapInArrow(
         run, "doc bigint, a int, b int, before array<bigint>, after array<bigint>, lines array<bigint>").dropDuplicates(["doc", "a", "b"])
 
 
@@ -255,25 +270,32 @@ def _alike(left: str, right: str) -> F.Column:
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = RUN_WORDS,
-                  window: int = RUN_WINDOW) -> DataFrame:
+                  window: int = RUN_WINDOW, removed: DataFrame | None = None) -> DataFrame:
     """Runs of equal words that several documents hold, in lines of any length.
 
     ``doc, pos, n_words, first_doc, first_pos, n_docs, removed, word``: the line and the number of the
     run's first word, and the first document and line with these words.  The words of
-    a removed run stay in the first document only, whose own row is not removed.
+    a removed run stay in the first document only, whose own row is not removed.  Lines that are ``removed``
+    already (``doc, pos``) are in no run: neither is what they hold kept, nor does it make others go.
     """
+    if removed is None:
+        removed = docs.sparkSession.createDataFrame([], "doc bigint, pos int")
     grams = cut(selected_grams(docs, id_col, text, width, window))
     # Most hashes occur in one document: they leave before anything is counted by document.
     shared = grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("gram")
-    held = cut(grams.join(shared, "gram"))
+    # A run's words are in few lines; those of a removed line leave before the first place is chosen.
+    out = removed.select("doc", F.col("pos").alias("out")).distinct()
+    met = grams.join(shared, "gram").withColumn("out", F.explode(F.sequence("line", "last_line"))).join(out, ["doc", "out"], "left_semi")
+    held = cut(grams.join(shared, "gram").join(met.select("doc", "word", "gram").distinct(), ["doc", "word", "gram"], "left_anti")
+               .select("doc", "word", "gram"))
     firsts = (held.groupBy("gram", "doc").agg(F.min("word").alias("word")).groupBy("gram")
-              .agg(F.min(F.struct("doc", "word")).alias("first"), F.count(F.lit(1)).alias("n_docs")))
+              .agg(F.min(F.struct("doc", "word")).alias("first"), F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1"))
     matched = (held.join(firsts, "gram").where((F.col("doc") != F.col("first.doc")) | (F.col("word") != F.col("first.word")))
                .select("doc", "word", F.col("first.doc").alias("first_doc"), F.col("first.word").alias("first_word"), "n_docs"))
     chains = cut(_chains(matched, width))
     first = [F.col("first_doc").alias("doc"), F.col("fa").alias("a"), F.col("fb").alias("b")]
     # A hash lies within a window of the end of its run.
-    sides = cut(_sides(chains.select("doc", "a", "b").unionByName(chains.select(*first)), docs, id_col, text, window))
+    sides = cut(_sides(chains.select("doc", "a", "b").unionByName(chains.select(*first)), docs, removed, id_col, text, window))
     theirs = sides.select(F.col("doc").alias("first_doc"), F.col("a").alias("fa"), F.col("b").alias("fb"),
                           *[F.col(c).alias(f"first_{c}") for c in ("before", "after", "lines")])
     grown = (chains.join(sides, ["doc", "a", "b"]).join(theirs, ["first_doc", "fa", "fb"])
@@ -295,9 +317,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Repeated lines (``word`` is null) and repeated runs."""
-    lines = repeated_passages(docs, id_col, text).withColumn("word", F.lit(None).cast("int"))
-    return lines.unionByName(repeated_runs(docs, id_col, text))
+    """Repeated lines (``word`` is null), and repeated runs of what their removal leaves."""
+    lines = cut(repeated_passages(docs, id_col, text).withColumn("word", F.lit(None).cast("int")))
+    return lines.unionByName(repeated_runs(docs, id_col, text, removed=lines.where("removed").select("doc", "pos")))
 
 
 def _without_words(raw: bytes, lines: set[int], words: set[int]) -> bytes:
