@@ -6,14 +6,13 @@ the last one adds ``slot`` and ``shard``.  A lost executor costs the running sta
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftline.llm import decontaminate, mixing, near_dup, sharding, toxicity
 from weftline.llm.queries import SHARDS, SLOTS, table
-from weftline.session import shared_folder
+from weftline.session import scratch_path
 
 # The rule for stages, over word shingles of five; op8 has a threshold of its own.
 NEAR_PERCENT = 80
@@ -64,7 +63,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_path(spark)
     for number, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         path = f"{folder}/{number}-{name}"
