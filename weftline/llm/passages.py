@@ -283,10 +283,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
     grams = cut(selected_grams(docs, id_col, text, width, window))
     # Most hashes occur in one document: they leave before anything is counted by document.
     shared = grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("gram")
+    shared = cut(grams.join(shared, "gram"))
     # A run's words are in few lines; those of a removed line leave before the first place is chosen.
     out = removed.select("doc", F.col("pos").alias("out")).distinct()
-    met = grams.join(shared, "gram").withColumn("out", F.explode(F.sequence("line", "last_line"))).join(out, ["doc", "out"], "left_semi")
-    held = cut(grams.join(shared, "gram").join(met.select("doc", "word", "gram").distinct(), ["doc", "word", "gram"], "left_anti")
+    met = shared.withColumn("out", F.explode(F.sequence("line", "last_line"))).join(out, ["doc", "out"], "left_semi")
+    held = cut(shared.join(met.select("doc", "word", "gram").distinct(), ["doc", "word", "gram"], "left_anti")
                .select("doc", "word", "gram"))
     firsts = (held.groupBy("gram", "doc").agg(F.min("word").alias("word")).groupBy("gram")
               .agg(F.min(F.struct("doc", "word")).alias("first"), F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1"))
