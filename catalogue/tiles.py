@@ -40,7 +40,7 @@ rep AS (SELECT name, min(s) AS s, max(e) AS e FROM numbered GROUP BY name, g HAV
 
 
 def _repeats(spark, sf):
-    return cut(R.self_repeats(doc_hits(spark, sf), longer_than=60))
+    return cut(R.sequence_repeats(A.sequences(spark, sf), longer_than=60))
 
 
 @query(f"""WITH {_REPEATS}, tiles AS (SELECT name, t0, substr(seq, t0 + 1, 256) AS t FROM (SELECT name, seq, unnest(range(0, length(seq), 256)) AS t0 FROM seqs)),
