@@ -11,7 +11,7 @@ from weftline.session import cut
 def match_references(seqs: DataFrame, k: int = 31, at_most: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """All reference matches of ``name, hap, is_ref, seq`` rows, and the nearest one."""
     chosen, members = P.fold_copies(seqs, by=("is_ref",))
-    counts = P.folded_counts(K.kmer_hits(chosen, ("name", "copies"), "seq", k))
+    counts = K.sequence_counts(chosen, ("name", "copies"), "seq", k)
     near = cut(P.pair_distances(counts, at_most))
     classes = chosen.select("name", "is_ref")
     every = M.reference_matches(near, classes, members, seqs.select("name", "hap", "is_ref"))
