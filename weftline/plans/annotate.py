@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.operators import aligner as AN, kmers as K, matching as M, pairs as P
+from weftline.operators import aligner as AN, matching as M, pairs as P
 from weftline.session import cut
 
 
 def match_references(seqs: DataFrame, k: int = 31, at_most: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """All reference matches of ``name, hap, is_ref, seq`` rows, and the nearest one."""
     chosen, members = P.fold_copies(seqs, by=("is_ref",))
-    counts = K.sequence_counts(chosen, ("name", "copies"), "seq", k)
-    near = cut(P.pair_distances(counts, at_most))
+    near = cut(P.pair_distances(None, at_most, P.sequence_colours(chosen, "seq", k)))
     classes = chosen.select("name", "is_ref")
     every = M.reference_matches(near, classes, members, seqs.select("name", "hap", "is_ref"))
     return every, M.nearest_reference(near, classes, members)

@@ -10,10 +10,15 @@ from weftline.operators.superkmers import count_super_kmers
 from weftline.session import cut
 
 
-def unique_enough(targets: DataFrame, genome: DataFrame, k: int = 31, limit: int = 255) -> DataFrame:
+def unique_enough(targets: DataFrame, genome: DataFrame, k: int = 31, limit: int = 255, few: int = 1_000_000) -> DataFrame:
     """Target k-mers seen fewer than ``limit`` times in a reference genome."""
-    sets = K.target_set(K.kmer_hits(targets, ("target",), "seq", k))
-    seen = count_super_kmers(genome, k=k, limit=limit).where(F.col("cnt") >= limit)
+    sets = cut(K.target_set(K.kmer_hits(targets, ("target",), "seq", k)))
+    if sets.count() <= few:
+        # Only what the targets hold leaves the sequences' counts.
+        found = K.sequence_counts(genome.select("name", "seq"), ("name",), "seq", k).join(sets.select("kmer").distinct().hint("broadcast"), "kmer", "left_semi")
+        seen = found.groupBy("kmer").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") >= limit)
+    else:
+        seen = count_super_kmers(genome, k=k, limit=limit).where(F.col("cnt") >= limit)
     return sets.join(seen.select("kmer"), "kmer", "left_anti")
 
 
