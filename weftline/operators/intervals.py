@@ -9,14 +9,18 @@ by equality, so no list of overlapping pairs is ever produced.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from weftline.operators.scan import fresh, ordinal, prefix_scan
-from weftline.session import cut
+from weftline.session import cut, ship
 
 CHUNK = 1 << 16
+FEW = 1 << 16
+SWEPT = 1 << 18
 
 
 def _chunk(column: str, width: int) -> Column:
@@ -205,7 +209,7 @@ def stab_best(points: DataFrame, ranges: DataFrame, keys: Sequence[str], point:
               levels: int | None = None, out: str = "best") -> DataFrame:
     """Smallest ``value`` among the ranges covering each (keys, point)."""
     keys = list(keys)
-    levels = levels or _levels_for((ranges, start, end))
+    levels = min(levels or 64, _levels_for((ranges, start, end)))
     tree = _blocks(ranges, keys, _cover(start, end, levels), value)
     found = _lookup(points, [*keys, point], keys, _ancestors(point, levels), tree)
     return found.groupBy(*keys, point).agg(F.min("_v").alias(out))
@@ -226,7 +230,7 @@ def first_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], id_col
     solid = right.where(F.col(re_) > F.col(rs))
     spans = left.where(F.col(le) > F.col(ls)).select(
         id_col, *keys, F.col(ls).alias("_s"), (F.col(ls) + 1).alias("_s1"), F.col(le).alias("_e"))
-    levels = levels or _levels_for((solid, rs, re_), (spans, "_s", "_e"))
+    levels = min(levels or 64, _levels_for((solid, rs, re_), (spans, "_s", "_e")))
     covering = _blocks(solid, keys, _cover(rs, re_, levels), value)
     begins = _blocks(solid, keys, _ancestors(rs, levels), value)
     found = _lookup(spans, [id_col], keys, _ancestors("_s", levels), covering).unionByName(
@@ -237,15 +241,104 @@ def first_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], id_col
 
 def best_score_envelope(df: DataFrame, keys: Sequence[str], id_col: str, score: str = "score",
                         start: str = "start", end: str = "end", longer_than: int = 50,
-                        levels: int | None = None, width: int = CHUNK) -> DataFrame:
+                        levels: int | None = None, width: int = CHUNK, few: int = FEW) -> DataFrame:
     """Which alignment scores best along each key: ``keys, id, start, end``.
 
     Ties go to the earlier start, then the smaller id.  Neighbouring stretches
     of one alignment join; stretches of ``longer_than`` or less are left out.
+    The rows of a key with at most ``few`` meet in one shuffle; the others go by blocks and scans.
     """
     keys = list(keys)
-    solid = df.where(F.col(end) > F.col(start)).withColumn(
-        "_rank", F.struct((-F.col(score)).alias("a"), F.col(start).alias("b"), F.col(id_col).alias("c")))
+    solid = df.where(F.col(end) > F.col(start)).select(*keys, id_col, start, end, F.struct(
+        (-F.col(score)).alias("a"), F.col(start).alias("b"), F.col(id_col).alias("c")).alias("_rank"))
+    plain = (T.IntegralType, T.StringType)
+    if not (all(isinstance(solid.schema[c].dataType, plain) for c in (*keys, id_col))
+            and all(isinstance(solid.schema[c].dataType, T.IntegralType) for c in (start, end))):
+        return _scanned_envelope(solid, keys, id_col, start, end, longer_than, levels, width)
+    for c in keys:
+        solid = solid.where(F.col(c).isNotNull())
+    crowded = cut(solid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(F.col(id_col).isNull()).alias("_null"))
+                  .where((F.col("_n") > few) | F.col("_null")).select(*keys))
+    if crowded.isEmpty():
+        return _swept_envelope(solid, keys, id_col, start, end, longer_than)
+    return _swept_envelope(solid.join(crowded, keys, "left_anti"), keys, id_col, start, end, longer_than).unionByName(
+        _scanned_envelope(solid.join(crowded, keys, "left_semi"), keys, id_col, start, end, longer_than, levels, width))
+
+
+def _owners(lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
+    """The first of the ranges ``lo`` to ``hi`` over each of ``size`` places, or their number where there is none.
+
+    A range is two overlapping blocks of a power of two; blocks are handed down halves.
+    """
+    level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+    best = np.full(size, len(lo))
+    for at in range(int(level.max(initial=0)), -1, -1):
+        mine = np.flatnonzero(level == at)
+        if at < level.max(initial=0):
+            halves = best.copy()
+            halves[1 << at:] = np.minimum(halves[1 << at:], best[:size - (1 << at)])
+            best = halves
+        np.minimum.at(best, lo[mine], mine)
+        np.minimum.at(best, hi[mine] - (1 << at), mine)
+    return best
+
+
+def _swept_envelope(solid: DataFrame, keys: list[str], id_col: str, start: str, end: str, longer_than: int) -> DataFrame:
+    """The envelope of keys of few rows: each lies whole in a task, its rows ranked by Spark's sort."""
+    ship(solid.sparkSession)
+    kind = solid.select(F.array(start, end).alias("a")).schema["a"].dataType.elementType
+    ranked = solid.repartition(*keys).sortWithinPartitions(*keys, "_rank").select(
+        *keys, id_col, F.col(start).cast("bigint").alias(start), F.col(end).cast("bigint").alias(end))
+
+    def codes(table: pa.Table, name: str) -> np.ndarray:
+        return table.column(name).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+    def opens(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for c in keys:
+            own = codes(table, c)
+            new[1:] |= own[1:] != own[:-1]
+        return new
+
+    def solved(table: pa.Table) -> pa.RecordBatch:
+        group = np.cumsum(opens(table)) - 1
+        s, e = (table.column(c).to_numpy() for c in (start, end))
+        both, at = np.concatenate((group, group)), np.concatenate((s, e))
+        order = np.lexsort((at, both))
+        new = np.concatenate(([True], (at[order][1:] != at[order][:-1]) | (both[order][1:] != both[order][:-1])))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        points = at[order][new]
+        owner = _owners(place[:len(s)], place[len(s):], len(points))
+        held = owner < len(s)
+        name = np.where(held, np.append(codes(table, id_col), -1)[owner], -1)
+        first = np.flatnonzero(held & np.concatenate(([True], name[1:] != name[:-1])))
+        last = np.flatnonzero(held & np.concatenate((name[1:] != name[:-1], [True])))
+        long = points[last + 1] - points[first] > longer_than
+        first, last = first[long], last[long]
+        rows = pa.array(owner[first])
+        columns = [table.column(c).combine_chunks().take(rows) for c in (*keys, id_col)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(points[first]), pa.array(points[last + 1])], [*keys, id_col, start, end])
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= SWEPT:
+                table = pa.Table.from_batches(held)
+                whole = int(np.flatnonzero(opens(table))[-1])
+                if whole:
+                    yield solved(table.slice(0, whole))
+                    held = table.slice(whole).to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield solved(pa.Table.from_batches(held))
+    return ranked.mapInArrow(sweep, ranked.schema).select(
+        *keys, id_col, F.col(start).cast(kind).alias(start), F.col(end).cast(kind).alias(end))
+
+
+def _scanned_envelope(solid: DataFrame, keys: list[str], id_col: str, start: str, end: str, longer_than: int,
+                      levels: int | None, width: int) -> DataFrame:
     edges = solid.select(*keys, F.explode(F.array(start, end)).alias("_at")).distinct()
     segments = prefix_scan(edges, keys, "_at", _chunk("_at", width), F.col("_at"), "min",
                            "_next", inclusive=False, descending=True).where("_next IS NOT NULL")
