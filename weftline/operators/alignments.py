@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.functions import cigar as C
 from weftline.operators.intervals import merge_intervals, range_join
+from weftline.session import cut
 
 
 def explode_ops(df: DataFrame, id_col: str, cigar: str = "cigar", *carry: str) -> DataFrame:
@@ -76,8 +77,47 @@ def polish_ends(df: DataFrame, id_col: str, more_than: int = 200, cigar: str = "
         F.array_join(F.transform(F.array_sort(F.collect_list(text)), lambda t: t["t"]), "").alias("cigar"))
 
 
-def strip_anchors(df: DataFrame, id_col: str, size: int = 100, cigar: str = "cigar") -> DataFrame:
-    """Remove ``size`` reference bases from both ends of each alignment."""
+def strip_anchors(df: DataFrame, id_col: str, size: int = 100, cigar: str = "cigar", most: int = 512) -> DataFrame:
+    """Remove ``size`` reference bases from both ends of each alignment.
+
+    An alignment of at most ``most`` characters is cut where it lies; longer ones, and those that share an id, go by rows of operations.
+    """
+    rows = df.select(id_col, cigar).where(F.col(id_col).isNotNull())
+    again = cut(rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(id_col))
+    once = rows
+    if not again.isEmpty():
+        once = rows.join(again, id_col, "left_anti")
+    # Made by a generator, so that each is evaluated once.
+    ops = once.where(F.length(cigar) <= most).select(id_col, F.explode(F.array(_measured(C.tokens(F.col(cigar))))).alias("_ops"))
+    own = ops.select(id_col, F.explode(F.filter(F.array(_stripped(F.col("_ops"), size)), lambda s: s["n"] > 0)).alias("_s")).select(
+        id_col, F.col("_s.text").alias("cigar"))
+    rest = once.where(F.length(cigar) > most)
+    if not again.isEmpty():
+        rest = rest.unionByName(rows.join(again, id_col, "left_semi").select(id_col, cigar))
+    return own.unionByName(_stripped_rows(rest, id_col, size, cigar))
+
+
+def _measured(ops: Column) -> Column:
+    """Operations with ``ref``, the reference bases they take."""
+    return F.transform(ops, lambda o: F.struct(o["len"].cast("bigint").alias("len"), o["op"].alias("op"), F.when(
+        o["op"].isin(*C.REF_OPS), o["len"]).otherwise(0).cast("bigint").alias("ref")))
+
+
+def _stripped(ops: Column, size: int) -> Column:
+    """``r, hi, n, text``: the operations left and how many, from an array of ``len, op, ref``."""
+    hi = F.aggregate(ops, F.lit(0).cast("bigint"), lambda a, o: a + o["ref"]) - size
+
+    def add(a: Column, o: Column) -> Column:
+        r, end = a["r"], a["r"] + o["ref"]
+        still = o["ref"] == 0
+        inside = F.when(still, r > size).otherwise(end > size) & (r < a["hi"])
+        piece = F.when(still, o["len"]).otherwise(F.least(end, a["hi"]) - F.greatest(r, F.lit(size).cast("bigint")))
+        return F.struct(end.alias("r"), a["hi"].alias("hi"), F.when(inside, a["n"] + 1).otherwise(a["n"]).alias("n"),
+                        F.when(inside, F.concat(a["text"], piece.cast("string"), o["op"])).otherwise(a["text"]).alias("text"))
+    return F.aggregate(ops, F.struct(F.lit(0).cast("bigint").alias("r"), hi.alias("hi"), F.lit(0).alias("n"), F.lit("").alias("text")), add)
+
+
+def _stripped_rows(df: DataFrame, id_col: str, size: int, cigar: str) -> DataFrame:
     ops = explode_ops(df, id_col, cigar)
     ends = ops.groupBy(id_col).agg(F.max("r_end").alias("_all"))
     ranged = ops.join(ends, id_col)
