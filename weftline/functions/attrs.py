@@ -16,7 +16,8 @@ def gff_attributes(text: Column) -> Column:
     keys = F.transform(entries, lambda e: e["key"])
     last = F.filter(entries, lambda e, i: F.array_position(
         F.slice(keys, i + 2, F.size(keys)), e["key"]) == 0)
-    return F.map_from_entries(last)
+    once = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.map_from_entries(F.when(once, entries).otherwise(last))
 
 
 def single_attribute(text: Column, key: str) -> Column:
