@@ -186,3 +186,27 @@ def test_every_removed_run_stays_somewhere(spark):
             around = text[r.doc]
             assert any(words[j - k:j - k + 25] == around[i - k:i - k + 25] for d, j in left.get(around[i].lower(), [])
                        for words in [text[d]] for k in range(25) if j >= k and i >= k and len(around[i - k:i - k + 25]) == 25), (r, i)
+
+
+def test_window_hashes_and_selected_positions_keep_their_values():
+    """The quick forms give what the plain ones do, equal values in a window included."""
+    import numpy as np
+
+    from weftline.llm.passages import _selected
+    from weftline.llm.shingles import _STEP, windows
+    from weftline.llm.text import mix64
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 24, 25, 26, 300):
+        words = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for width in (1, 2, 3, 5, 8, 13, 25):
+            took = min(width, n)
+            plain = np.zeros(n - took + 1, np.uint64)
+            for i in range(took):
+                plain = plain * _STEP + words[i:i + len(plain)]
+            assert (windows(words, width) == mix64(plain + np.uint64(took))).all()
+        for values in (words, words % np.uint64(7), np.tile(words[:3], n)):
+            for window in (1, 2, 24):
+                spans = np.lib.stride_tricks.sliding_window_view(values, min(window, len(values)))
+                at = spans.argmin(axis=1) + np.arange(len(spans))
+                assert _selected(values, window).tolist() == sorted(set(at.tolist()))

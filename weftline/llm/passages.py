@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from weftline.llm.crowds import classes, comparable, lists, stars
 from weftline.llm.shingles import MinHash, WordHashes, shingle_set, windows
 from weftline.llm.text import mix64, utf8_rows
+from weftline.operators.superkmers import smallest
 from weftline.session import cut, ship
 
 MIN_WORDS = 25
@@ -164,8 +165,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
 
 def _selected(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest of every ``window`` values in a row (of all, if they are fewer)."""
-    spans = np.lib.stride_tricks.sliding_window_view(grams, min(window, len(grams)))
+    """Positions of the smallest of every ``window`` values in a row (of all, if they are fewer); the first one of equals."""
+    window = min(window, len(grams))
+    least = smallest(grams, window)
+    # A value is the smallest of some window if the greatest of the minima over its windows is the value itself.
+    edge = np.zeros(window - 1, np.uint64)
+    at = np.flatnonzero(~smallest(~np.concatenate((edge, least, edge)), window) == grams)
+    if not ((np.diff(at) < window) & (grams[at[1:]] == grams[at[:-1]])).any():
+        return at
+    # Equal values in one window: only the first of them counts.
+    spans = np.lib.stride_tricks.sliding_window_view(grams, window)
     at = spans.argmin(axis=1) + np.arange(len(spans))
     return at[np.concatenate(([True], at[1:] != at[:-1]))]
 

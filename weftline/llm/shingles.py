@@ -10,21 +10,13 @@ from weftline.llm.text import mix64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """Hash of a word, remembered for the words of the last few batches."""
-
-    MOST = 1 << 18
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class WordHashes:
+    """Hashes of words.  A word is hashed each time: that takes less than to look it up among many."""
 
     def of(self, text: bytes | None) -> np.ndarray:
         """Hashes of the words of a text, A-Z lower-cased, in order."""
-        words = text.lower().split() if text else []
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        digests = b"".join(map(xxhash.xxh3_64_digest, text.lower().split())) if text else b""
+        return np.frombuffer(digests, ">u8").astype(np.uint64)
 
 
 def windows(words: np.ndarray, width: int) -> np.ndarray:
@@ -32,9 +24,12 @@ def windows(words: np.ndarray, width: int) -> np.ndarray:
     if not len(words):
         return words
     width = min(width, len(words))
-    out = np.zeros(len(words) - width + 1, np.uint64)
-    for i in range(width):
-        out = out * _STEP + words[i:i + len(out)]
+    # By doubling, from the highest bit of the width down: out holds the windows of ``done`` words.
+    out, done, step = words, 1, _STEP
+    for bit in range(width.bit_length() - 2, -1, -1):
+        out, done, step = out[:len(out) - done] * step + out[done:], 2 * done, step * step
+        if width >> bit & 1:
+            out, done, step = out[:-1] * _STEP + words[done:], done + 1, step * _STEP
     return mix64(out + np.uint64(width))
 
 

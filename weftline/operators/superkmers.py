@@ -33,7 +33,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+def smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by doubling."""
     out, done = values, 1
     while done < width:
@@ -49,7 +49,7 @@ def located_runs(text: np.ndarray, k: int, m: int) -> tuple[np.ndarray, np.ndarr
     if not len(codes):
         none = np.empty(0, np.int64)
         return none, none, none, none, none.astype(np.uint64)
-    least = _smallest(_mix(pack_kmers(text, m, True)[0]), k - m + 1)
+    least = smallest(_mix(pack_kmers(text, m, True)[0]), k - m + 1)
     new = np.concatenate(([True], (least[1:] != least[:-1]) | ~valid[:-1])) & valid
     at = np.arange(len(codes))
     head = np.maximum.accumulate(np.where(new, at, 0))
