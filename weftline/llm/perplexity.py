@@ -216,8 +216,7 @@ def base_counts(words: WordHashes, raw: bytes | None) -> tuple[list[bytes], int,
     lines = [line for line in raw.split(b"\n") if line.strip()]
     repeats = 0
     if len(found) >= 3:
-        hashes = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-        grams = windows(hashes, 3)
+        grams = windows(words.each(found), 3)
         _, inverse, times = np.unique(grams, return_inverse=True, return_counts=True)
         twice = times[inverse] > 1
         covered = np.zeros(len(found), bool)

@@ -13,10 +13,13 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes:
     """Hashes of words.  A word is hashed each time: that takes less than to look it up among many."""
 
+    def each(self, words: list[bytes]) -> np.ndarray:
+        """Hashes of words as they are."""
+        return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+
     def of(self, text: bytes | None) -> np.ndarray:
         """Hashes of the words of a text, A-Z lower-cased, in order."""
-        digests = b"".join(map(xxhash.xxh3_64_digest, text.lower().split())) if text else b""
-        return np.frombuffer(digests, ">u8").astype(np.uint64)
+        return self.each(text.lower().split() if text else [])
 
 
 def windows(words: np.ndarray, width: int) -> np.ndarray:
@@ -25,11 +28,11 @@ def windows(words: np.ndarray, width: int) -> np.ndarray:
         return words
     width = min(width, len(words))
     # By doubling, from the highest bit of the width down: out holds the windows of ``done`` words.
-    out, done, step = words, 1, _STEP
+    out, done = words, 1
     for bit in range(width.bit_length() - 2, -1, -1):
-        out, done, step = out[:len(out) - done] * step + out[done:], 2 * done, step * step
+        out, done = out[:len(out) - done] * np.uint64(pow(int(_STEP), done, 1 << 64)) + out[done:], 2 * done
         if width >> bit & 1:
-            out, done, step = out[:-1] * _STEP + words[done:], done + 1, step * _STEP
+            out, done = out[:-1] * _STEP + words[done:], done + 1
     return mix64(out + np.uint64(width))
 
 
