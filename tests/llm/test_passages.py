@@ -210,3 +210,78 @@ def test_window_hashes_and_selected_positions_keep_their_values():
                 spans = np.lib.stride_tricks.sliding_window_view(values, min(window, len(values)))
                 at = spans.argmin(axis=1) + np.arange(len(spans))
                 assert _selected(values, window).tolist() == sorted(set(at.tolist()))
+
+
+def test_lines_and_runs_come_from_one_look_at_the_words(spark):
+    """Each text is split and hashed once for both kinds of rows, which are what the separate ways give."""
+    rng = random.Random(16)
+    docs = spark.createDataFrame([(d, "\n".join(line(rng, rng.choice([0, 3, 30, 70])) for _ in range(rng.randint(0, 6)))) for d in range(200)]
+                                 + [(500, None), (None, line(rng, 60)), (501, " ".join(["same"] * 90)), (502, line(rng, 26))], "doc_id long, text string")
+    both = P.marks(docs, "doc_id", "text", (80, 5, 25, 0.9), (25, 24)).cache()
+    for rows, alone in ((P._sketched(both), P.sketches(docs, "doc_id", "text", 80, 5, 25, 0.9)),
+                        (P._chosen(both), P.selected_grams(docs, "doc_id", "text", 25, 24))):
+        got = sorted(map(tuple, rows.collect()))
+        assert got and got == sorted(map(tuple, alone.collect()))
+    both.unpersist()
+
+
+def test_hashes_of_many_texts_are_selected_as_of_each():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for top in (1 << 63, 1 << 63, 30):  # few different words: equal values in a window
+        for counts in ((30,), (25, 26, 48, 49, 500, 25), (25, 25), rng.integers(25, 200, 60).tolist()):
+            texts, whole = [rng.integers(0, top, n, dtype=np.uint64) for n in counts], P._Texts()
+            if top < 1 << 63:
+                texts = [np.tile(t[:7], 40)[:len(t)] for t in texts]
+            want = []
+            for d, hashes in enumerate(texts):
+                cuts = sorted(rng.integers(0, len(hashes) + 1, 4).tolist())
+                sizes = np.diff([0, *cuts, len(hashes)]).tolist()
+                lines = np.repeat(np.arange(len(sizes)), sizes)
+                whole.add(d, hashes, sizes)
+                grams = P.windows(hashes, 25)
+                for at in P._selected(grams, 24).tolist():
+                    want.append((d, at, int(grams[at].astype(np.int64)), int(lines[at]), int(lines[at + 24])))
+            assert list(zip(*(c.tolist() for c in whole.selected(25, 24)))) == want
+
+
+def test_chains_and_cells_equal_the_plain_ways(spark):
+    import numpy as np
+
+    from weftline.llm import crowds
+    rng = random.Random(17)
+    marks = [(rng.randrange(6), rng.randrange(300), rng.randrange(3), rng.randrange(20), rng.randint(2, 5)) for _ in range(600)]
+    want = set()
+    for doc in range(6):
+        held = {}
+        for _, at, first, other, n in sorted(m for m in marks if m[0] == doc):
+            row = held.get((first, at - other))
+            if row and at <= row[2]:
+                row[2], row[5], row[6] = at + 25, other + 25, max(row[6], n)
+            else:
+                held[first, at - other] = row = [doc, at, at + 25, first, other, other + 25, n]
+                held[len(held), "row"] = row
+        want |= {tuple(r) for r in held.values()}
+    frame = spark.createDataFrame(marks, "doc long, word int, first_doc long, first_word int, n_docs long")
+    assert {tuple(r) for r in P._chains(frame, 25).collect()} == want
+
+    few = np.random.default_rng(5)
+    sets = [np.unique(few.integers(0, 40, few.integers(3, 30)).astype(np.int64)) for _ in range(60)]
+    labels, blocks = np.arange(60) // 2, np.arange(60) % 2
+    for first, second in ((0, 0), (0, 1), (1, 1)):
+        here = [i for i in range(60) if blocks[i] in (first, second)]
+        parent = {int(x): int(x) for x in labels[here]}
+
+        def joined(links):
+            root = dict.fromkeys(parent)
+            for x in root:
+                root[x] = x
+            for a, b in links:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {x: new if r == old else r for x, r in root.items()}
+            return root
+        close = [(int(labels[i]), int(labels[j])) for i in here for j in here if i < j and (first == second or blocks[i] != blocks[j])
+                 and 100 * len(set(sets[i]) & set(sets[j])) >= 50 * len(set(sets[i]) | set(sets[j]))]
+        got = crowds._cell_links(np.array([*here]), labels[here], blocks[here], [sets[i] for i in here], first, second, 50)
+        assert set(got) <= {*close, *((b, a) for a, b in close)} and joined(got) == joined(close) and len(got) < len(parent)
+    assert crowds._cell_links(np.arange(3), np.array([4, 4, 4]), np.zeros(3, int), sets[:3], 0, 0, 50) == []

@@ -55,11 +55,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _cell_links(ids: np.ndarray, labels: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray],
                 first: int, second: int, percent: int) -> list[tuple[int, int]]:
     """Links between different classes in one cell, at most one for each two classes joined."""
+    if (labels == labels[0]).all():
+        return []
     size = np.array([len(s) for s in sets], np.int64)
     rows = np.repeat(np.arange(len(sets)), size)
     _, item = np.unique(np.concatenate(sets), return_inverse=True)
     by_item = np.argsort(item, kind="stable")
-    starts = np.concatenate(([0], np.cumsum(np.bincount(item))))
+    held = np.bincount(item)
+    starts = np.concatenate(([0], np.cumsum(held)))
     holders = rows[by_item]
     offset = np.concatenate(([0], np.cumsum(size)))
     parent = {x: x for x in labels.tolist()}
@@ -69,19 +72,24 @@ def _cell_links(ids: np.ndarray, labels: np.ndarray, blocks: np.ndarray, sets: l
             parent[x] = x = parent[parent[x]]
         return x
 
-    out = []
+    out, parts = [], len(parent)
     for i in range(len(sets)):
         if first != second and blocks[i] != first:
             continue
+        if parts == 1:
+            break
         own = item[offset[i]:offset[i + 1]]
-        spans = [holders[starts[t]:starts[t + 1]] for t in own]
-        common = np.bincount(np.concatenate(spans), minlength=len(sets))
+        # The places of the holders of all its items, one stretch after another.
+        n = held[own]
+        spans = np.arange(n.sum()) + np.repeat(starts[own] - np.cumsum(n) + n, n)
+        common = np.bincount(holders[spans], minlength=len(sets))
         near = np.flatnonzero(common * 100 >= (size + size[i] - common) * percent)
         for j in near.tolist():
             if (j > i if first == second else blocks[j] == second):
                 a, b = root(int(labels[i])), root(int(labels[j]))
                 if a != b:
                     parent[max(a, b)] = min(a, b)
+                    parts -= 1
                     out.append((int(labels[i]), int(labels[j])))
     return out
 

@@ -33,14 +33,16 @@ from weftline.llm.crowds import classes, comparable, lists, stars
 from weftline.llm.shingles import MinHash, WordHashes, shingle_set, windows
 from weftline.llm.text import mix64, utf8_rows
 from weftline.operators.superkmers import smallest
-from weftline.session import cut, ship
+from weftline.session import cut, drop_cuts, ship
 
-MIN_WORDS = 25
+PERCENT, SHINGLE, MIN_WORDS, RECALL = 80, 5, 25, 0.999
 # Every shared run of 48 words or more is found, and none of less than 25 is reported.
 RUN_WORDS, RUN_WINDOW = 25, 24
 # Unrelated paragraphs share no shingles, so two minima per band are enough to keep them apart.
 ROWS = 2
 CHUNK_WORDS = 1 << 19
+# Words whose hashes are selected at once, so that they stay in the processor's cache, and rows of a batch.
+TEXT_WORDS, MOST_ROWS = 1 << 14, 1 << 16
 _ITEM_BITS = np.uint64(44)
 _ITEM = np.uint64((1 << 44) - 1)
 
@@ -50,13 +52,9 @@ def bands_for(percent: int, recall: float, rows: int = ROWS) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - (percent / 100) ** rows))
 
 
-def _paragraphs(words: WordHashes, raw: bytes | None, min_words: int) -> Iterator[tuple[int, np.ndarray]]:
-    for at, line in enumerate(raw.split(b"\n") if raw else ()):
-        # Two words take three bytes at least: short lines need no look at their words.
-        if len(line) >= 2 * min_words - 1:
-            hashes = words.of(line)
-            if len(hashes) >= min_words:
-                yield at, hashes
+def _split(raw: bytes | None) -> list[list[bytes]]:
+    """The words of every line, A-Z lower-cased."""
+    return [line.split() for line in raw.lower().split(b"\n")] if raw else []
 
 
 def _sketch(hashes: list[np.ndarray], width: int, hasher: MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,36 +81,84 @@ def _sketch(hashes: list[np.ndarray], width: int, hasher: MinHash) -> tuple[np.n
     return np.diff(np.append(starts, len(packed))), digest, np.stack(bands)
 
 
-def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int, min_words: int, recall: float) -> DataFrame:
-    """``doc, pos, n_words, id, n, b0..``: set digest, set size and band keys of every paragraph."""
+def marks(docs: DataFrame, id_col: str, text: str, lines: tuple[int, int, int, float] | None, runs: tuple[int, int] | None) -> DataFrame:
+    """Rows of paragraphs and of selected hashes (``gram`` is null or not), from one look at the words of a text.
+
+    ``lines`` has the arguments of ``sketches``, ``runs`` those of ``selected_grams``; what is None is left out.
+    """
     ship(docs.sparkSession)
-    count = bands_for(percent, recall)
-    names = ["doc", "pos", "n_words", "id", "n", *[f"b{i}" for i in range(count)]]
+    percent, width, min_words, recall = lines or (0, 0, 0, 0)
+    run_width, window = runs or (0, 0)
+    count = bands_for(percent, recall) if lines else 0
+    kinds = {"doc": pa.int64(), "pos": pa.int32(), "n_words": pa.int64(), "id": pa.int64(), "n": pa.int64(),
+             **{f"b{i}": pa.int64() for i in range(count)},
+             "word": pa.int32(), "gram": pa.int64(), "line": pa.int32(), "last_line": pa.int32()}
+
+    def rows(columns: dict[str, np.ndarray | list]) -> pa.RecordBatch:
+        size = len(columns["doc"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], kind) if c in columns else pa.nulls(size, kind) for c, kind in kinds.items()], list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hasher = WordHashes(), MinHash(count * ROWS)
         doc, pos, held, total = [], [], [], 0
+        whole, found, chosen = _Texts(), [], 0
 
         def flush() -> pa.RecordBatch:
             n, digest, bands = _sketch(held, width, hasher)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(list(map(len, held)), pa.int64()),
-                 pa.array(digest.view(np.int64)), pa.array(n, pa.int64()), *[pa.array(b.view(np.int64)) for b in bands]], names)
+            return rows({"doc": doc, "pos": pos, "n_words": list(map(len, held)), "id": digest.view(np.int64), "n": n,
+                         **{f"b{i}": b.view(np.int64) for i, b in enumerate(bands)}})
+
+        def selected() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*found)]
+            return rows(dict(zip(("doc", "word", "gram", "line", "last_line"), columns)))
         for batch in batches:
             for id_, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
-                for at, hashes in _paragraphs(words, raw, min_words):
-                    doc.append(id_)
-                    pos.append(at)
-                    held.append(hashes)
-                    total += len(hashes)
-                    # Inside a document too: the number of paragraphs held must fit above the shingle.
-                    if total > CHUNK_WORDS:
-                        yield flush()
-                        doc, pos, held, total = [], [], [], 0
+                parts = _split(raw)
+                sizes = list(map(len, parts))
+                hashes = words.each([w for part in parts for w in part])
+                at = 0
+                for number, size in enumerate(sizes if lines else ()):
+                    if size >= min_words:
+                        doc.append(id_)
+                        pos.append(number)
+                        held.append(hashes[at:at + size])
+                        total += size
+                        # Inside a document too: the number of paragraphs held must fit above the shingle.
+                        if total > CHUNK_WORDS:
+                            yield flush()
+                            doc, pos, held, total = [], [], [], 0
+                    at += size
+                if runs and len(hashes) >= run_width:
+                    whole.add(id_, hashes, sizes)
+                    if whole.total >= TEXT_WORDS:
+                        found.append(whole.selected(run_width, window))
+                        chosen += len(found[-1][0])
+                        whole = _Texts()
+                        if chosen > MOST_ROWS:
+                            yield selected()
+                            found, chosen = [], 0
         if held:
             yield flush()
+        if whole.total:
+            found.append(whole.selected(run_width, window))
+        if found:
+            yield selected()
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
-        run, "doc bigint, pos int, n_words bigint, id bigint, n bigint, " + ", ".join(f"b{i} bigint" for i in range(count)))
+        run, ", ".join(f"{c} {'int' if kind == pa.int32() else 'bigint'}" for c, kind in kinds.items()))
+
+
+def _sketched(rows: DataFrame) -> DataFrame:
+    return rows.where("gram IS NULL").drop("word", "gram", "line", "last_line")
+
+
+def _chosen(rows: DataFrame) -> DataFrame:
+    return rows.where("gram IS NOT NULL").select("doc", "word", "gram", "line", "last_line")
+
+
+def sketches(docs: DataFrame, id_col: str, text: str, percent: int, width: int, min_words: int, recall: float) -> DataFrame:
+    """``doc, pos, n_words, id, n, b0..``: set digest, set size and band keys of every paragraph."""
+    return _sketched(marks(docs, id_col, text, (percent, width, min_words, recall), None))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width: int, min_words: int) -> DataFrame:
@@ -127,24 +173,27 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, width:
             ids, sets = [], []
             for marks, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
                 by_pos = {m["pos"]: m["id"] for m in marks}
-                for at, hashes in _paragraphs(words, raw, min_words):
-                    if at in by_pos:
+                for at, line in enumerate(raw.split(b"\n") if raw else ()):
+                    # Only the wanted lines are hashed.
+                    if at in by_pos and len(hashes := words.of(line)) >= min_words:
                         ids.append(by_pos[at])
                         sets.append(shingle_set(hashes, width))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists(sets)], ["id", "items"])
     return joined.select("wanted", "text").mapInArrow(run, "id bigint, items array<bigint>")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5,
-                      min_words: int = MIN_WORDS, recall: float = 0.999) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = SHINGLE,
+                      min_words: int = MIN_WORDS, recall: float = RECALL, sketched: DataFrame | None = None) -> DataFrame:
     """One row per paragraph of every cluster over several documents.
 
     ``doc, pos, n_words, first_doc, first_pos, n_docs, removed``: the first paragraph of the
-    cluster, its number of documents, and whether this paragraph goes.
+    cluster, its number of documents, and whether this paragraph goes.  ``sketched`` has the
+    ``sketches`` of these texts, where they are written already.
     """
     if min_words < width:
         raise ValueError("a paragraph must hold at least one whole shingle")
-    sketched = cut(sketches(docs, id_col, text, percent, width, min_words, recall))
+    if sketched is None:
+        sketched = cut(sketches(docs, id_col, text, percent, width, min_words, recall))
     bands = [c for c in sketched.columns if c[0] == "b"]
     folded = cut(sketched.groupBy("id").agg(F.first("n").alias("n"), *[F.first(b).alias(b) for b in bands])
                  .select("id", "n", F.array(*bands).alias("bands")))
@@ -156,6 +205,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     sets = cut(full_sets(docs, wanted, id_col, text, width, min_words).dropDuplicates(["id"]))
     found = cut(classes(folded, met, pairs, sets, percent))
     members = cut(sketched.select("doc", "pos", "n_words", "id").join(found, "id").drop("id"))
+    drop_cuts(folded, met, pairs, sets, found)
     # Distinct documents per cluster, counted on (cluster, document) rows: no list per cluster.
     clusters = (members.groupBy("component", "doc").agg(F.min("pos").alias("pos")).groupBy("component")
                 .agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1"))
@@ -179,37 +229,62 @@ def _selected(grams: np.ndarray, window: int) -> np.ndarray:
     return at[np.concatenate(([True], at[1:] != at[:-1]))]
 
 
+class _Texts:
+    """Word hashes of several texts, whose hashes of words in a row are made and selected at once."""
+
+    def __init__(self):
+        self.ids, self.hashes, self.n_lines, self.sizes, self.total = [], [], [], [], 0
+
+    def add(self, id_: int, hashes: np.ndarray, sizes: list[int]) -> None:
+        """A text, with the number of words of each of its lines."""
+        self.ids.append(id_)
+        self.hashes.append(hashes)
+        self.n_lines.append(len(sizes))
+        self.sizes += sizes
+        self.total += len(hashes)
+
+    def selected(self, width: int, window: int) -> tuple[np.ndarray, ...]:
+        """``doc, word, gram, line, last_line`` of the selected hashes; every text has ``width`` words at least."""
+        size = np.fromiter(map(len, self.hashes), np.int64, len(self.hashes))
+        begin = np.cumsum(size) - size
+        grams = windows(np.concatenate(self.hashes), width)
+        at = _selected_of(grams, begin, size - width + 1, window)
+        owner = np.searchsorted(begin, at, "right") - 1
+        line_ends, line_begin = np.cumsum(self.sizes), (np.cumsum(self.n_lines) - self.n_lines)[owner]
+        return (np.array(self.ids, np.int64)[owner], (at - begin[owner]).astype(np.int32), grams[at].view(np.int64),
+                *[(np.searchsorted(line_ends, word, "right") - line_begin).astype(np.int32) for word in (at, at + width - 1)])
+
+
+def _selected_of(grams: np.ndarray, begin: np.ndarray, count: np.ndarray, window: int) -> np.ndarray:
+    """``_selected`` within every stretch of ``count`` values from ``begin``: ascending positions in ``grams``."""
+    again, at = count < window, np.empty(0, np.int64)
+    if not again.all():
+        least = smallest(grams, window)
+        # Only windows that lie in one stretch count.
+        first = np.arange(len(least))
+        owner = np.searchsorted(begin, first, "right") - 1
+        least[first + window > (begin + count)[owner]] = 0
+        edge = np.zeros(window - 1, np.uint64)
+        at = np.flatnonzero(~smallest(~np.concatenate((edge, least, edge)), window) == grams)
+        owner = np.searchsorted(begin, at, "right") - 1
+        # Equal values in one window: such a stretch is looked at by itself, like those shorter than a window.
+        near = (owner[1:] == owner[:-1]) & (np.diff(at) < window) & (grams[at[1:]] == grams[at[:-1]])
+        again[owner[1:][near]] = True
+        at = at[~again[owner] & (at < (begin + count)[owner])]
+    alone = [begin[i] + _selected(grams[begin[i]:begin[i] + count[i]], window) for i in np.flatnonzero(again)]
+    return np.sort(np.concatenate([at, *alone])) if alone else at
+
+
 def _words_and_lines(words: WordHashes, raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a text, and the line each one is in."""
-    parts = [words.of(line) for line in raw.split(b"\n")] if raw else []
-    return np.concatenate([np.empty(0, np.uint64), *parts]), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    parts = _split(raw)
+    return words.each([w for part in parts for w in part]), np.repeat(np.arange(len(parts)), list(map(len, parts)))
 
 
 def selected_grams(docs: DataFrame, id_col: str, text: str, width: int, window: int) -> DataFrame:
     """``doc, word, gram, line, last_line``: the selected hashes of ``width`` words in a row, the number of the first
     word, and the lines of the first and the last one."""
-    ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in batches:
-            none = np.empty(0, np.int64)
-            doc, at, first, last, grams = [none], [none], [none], [none], [np.empty(0, np.uint64)]
-            for id_, raw in zip(batch.column(0).to_pylist(), utf8_rows(batch.column(1))):
-                hashes, line = _words_and_lines(words, raw)
-                if len(hashes) >= width:
-                    all_ = windows(hashes, width)
-                    at.append(_selected(all_, window))
-                    grams.append(all_[at[-1]])
-                    first.append(line[at[-1]])
-                    last.append(line[at[-1] + width - 1])
-                    doc.append(np.full(len(at[-1]), id_, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(doc)), pa.array(np.concatenate(at).astype(np.int32)),
-                 pa.array(np.concatenate(grams).view(np.int64)), *[pa.array(np.concatenate(c).astype(np.int32)) for c in (first, last)]],
-                ["doc", "word", "gram", "line", "last_line"])
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL").mapInArrow(
-        run, "doc bigint, word int, gram bigint, line int, last_line int")
+    return _chosen(marks(docs, id_col, text, None, (width, window)))
 
 
 def _chains(matched: DataFrame, width: int) -> DataFrame:
@@ -220,19 +295,21 @@ def _chains(matched: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held: dict[tuple[int, int], list[int]] = {}
-                for m in sorted(marks, key=lambda m: m["word"]):
-                    at, key = m["word"], (m["first_doc"], m["word"] - m["first_word"])
-                    row = held.get(key)
-                    if row is not None and at <= row[2]:
-                        row[2], row[5] = at + width, m["first_word"] + width
-                        row[6] = max(row[6], m["n_docs"])
-                    else:
-                        held[key] = row = [doc, at, at + width, key[0], m["first_word"], m["first_word"] + width, m["n_docs"]]
-                        rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+            marks = batch.column(1)
+            word, first_doc, first_word, n_docs = [c.to_numpy() for c in marks.flatten().flatten()]
+            doc = np.repeat(batch.column(0).to_numpy(), marks.value_lengths().to_numpy())
+            if not len(doc):
+                continue
+            shift = word - first_word
+            by = np.lexsort((word, shift, first_doc, doc))
+            doc, word, first_doc, shift, n_docs = doc[by], word[by], first_doc[by], shift[by], n_docs[by]
+            new = word[1:] > word[:-1] + width
+            for key in (doc, first_doc, shift):
+                new |= key[1:] != key[:-1]
+            a = np.flatnonzero(np.concatenate(([True], new)))
+            b = word[np.append(a[1:], len(doc)) - 1] + width
+            columns = [doc[a], word[a], b, first_doc[a], word[a] - shift[a], b - shift[a], np.maximum.reduceat(n_docs, a)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
     return matched.groupBy("doc").agg(F.collect_set(F.struct("word", "first_doc", "first_word", "n_docs")).alias("marks")).mapInArrow(
         run, "doc bigint, a int, b int, first_doc bigint, fa int, fb int, n_docs bigint")
 
@@ -278,26 +355,34 @@ def _alike(left: str, right: str) -> F.Column:
     return F.when(differ > 0, differ - 1).otherwise(F.size(same)).cast("int")
 
 
+def shared_grams(grams: DataFrame) -> DataFrame:
+    """The selected hashes that several documents hold: most occur in one, and leave before anything is counted by document."""
+    several = grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("gram")
+    return grams.join(several, "gram")
+
+
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = RUN_WORDS,
-                  window: int = RUN_WINDOW, removed: DataFrame | None = None) -> DataFrame:
+                  window: int = RUN_WINDOW, removed: DataFrame | None = None, shared: DataFrame | None = None) -> DataFrame:
     """Runs of equal words that several documents hold, in lines of any length.
 
     ``doc, pos, n_words, first_doc, first_pos, n_docs, removed, word``: the line and the number of the
     run's first word, and the first document and line with these words.  The words of
     a removed run stay in the first document only, whose own row is not removed.  Lines that are ``removed``
     already (``doc, pos``) are in no run: neither is what they hold kept, nor does it make others go.
+    ``shared`` has the ``shared_grams`` of these texts as ``cut`` returned them, and is removed once read.
     """
     if removed is None:
         removed = docs.sparkSession.createDataFrame([], "doc bigint, pos int")
-    grams = cut(selected_grams(docs, id_col, text, width, window))
-    # Most hashes occur in one document: they leave before anything is counted by document.
-    shared = grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("gram")
-    shared = cut(grams.join(shared, "gram"))
+    if shared is None:
+        grams = cut(selected_grams(docs, id_col, text, width, window))
+        shared = cut(shared_grams(grams))
+        drop_cuts(grams)
     # A run's words are in few lines; those of a removed line leave before the first place is chosen.
     out = removed.select("doc", F.col("pos").alias("out")).distinct()
     met = shared.withColumn("out", F.explode(F.sequence("line", "last_line"))).join(out, ["doc", "out"], "left_semi")
     held = cut(shared.join(met.select("doc", "word", "gram").distinct(), ["doc", "word", "gram"], "left_anti")
                .select("doc", "word", "gram"))
+    drop_cuts(shared)
     firsts = (held.groupBy("gram", "doc").agg(F.min("word").alias("word")).groupBy("gram")
               .agg(F.min(F.struct("doc", "word")).alias("first"), F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1"))
     matched = (held.join(firsts, "gram").where((F.col("doc") != F.col("first.doc")) | (F.col("word") != F.col("first.word")))
@@ -328,8 +413,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Repeated lines (``word`` is null), and repeated runs of what their removal leaves."""
-    lines = cut(repeated_passages(docs, id_col, text).withColumn("word", F.lit(None).cast("int")))
-    return lines.unionByName(repeated_runs(docs, id_col, text, removed=lines.where("removed").select("doc", "pos")))
+    read = cut(marks(docs, id_col, text, (PERCENT, SHINGLE, MIN_WORDS, RECALL), (RUN_WORDS, RUN_WINDOW)))
+    lines = cut(repeated_passages(docs, id_col, text, sketched=_sketched(read)).withColumn("word", F.lit(None).cast("int")))
+    shared = cut(shared_grams(_chosen(read)))
+    drop_cuts(read)
+    return lines.unionByName(repeated_runs(docs, id_col, text, removed=lines.where("removed").select("doc", "pos"), shared=shared))
 
 
 def _without_words(raw: bytes, lines: set[int], words: set[int]) -> bytes:

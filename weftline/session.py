@@ -103,4 +103,13 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._cut_path = path
+    return written
+
+
+def drop_cuts(*written: DataFrame) -> None:
+    """Remove tables that ``cut`` returned, once nothing that is still to be computed reads them."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
