@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalogue import query
 from catalogue.fragments import DOC_HITS, SEQS
-from catalogue.kmers import doc_hits
 from weftline import adapters as A
 from weftline.operators import graph as R, tiling as TI
 from weftline.session import cut
@@ -60,7 +59,7 @@ coalesce(sum(pos % 97 * (pos - lost)) FILTER (NOT gone), 0)::BIGINT AS pairing F
 def moved_kmers(spark, sf):
     index = TI.tile_index(A.sequences(spark, sf))
     kept = cut(TI.kept_ranges(TI.tiled_lengths(index), _repeats(spark, sf)))
-    moved = TI.moved_places(doc_hits(spark, sf).select("name", "pos"), kept)
+    moved = TI.moved_places(None, kept, seqs=A.sequences(spark, sf))
     zero = F.lit(0).cast("bigint")
     return moved.groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), F.count("new_pos").alias("n_kept"), F.coalesce(F.sum("new_pos"), zero).alias("places"),
