@@ -10,6 +10,8 @@ from weftline.operators.intervals import range_join
 from weftline.operators.scan import mode_first_seen, ordinal
 from weftline.session import cut
 
+# Members of the largest squares that ``largest_within`` compares first.
+OUTER = 64
 
 def last_written(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, the one latest along ``order``."""
@@ -164,6 +166,17 @@ def within_between(distances: DataFrame, labels: DataFrame, name: str = "name",
     return inside.join(outside, group, "full_outer")
 
 
+def _farthest(members: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """``key, _exact``: the largest squared distance of two of the members (``key, _m, _own``)."""
+    edge_rows = rows.join(members.select(key, "_m"), [key, "_m"], "left_semi")
+    i, j = (edge_rows.select(key, "_a", F.col("_m").alias(n), F.col("_v").alias(w)) for n, w in (("_i", "_x"), ("_j", "_y")))
+    dots = i.join(j, [key, "_a"]).where("_i < _j").groupBy(key, "_i", "_j").agg(F.sum(F.col("_x") * F.col("_y")).alias("_dot"))
+    pairs = members.select(key, F.col("_m").alias("_i"), F.col("_own").alias("_oi")).join(
+        members.select(key, F.col("_m").alias("_j"), F.col("_own").alias("_oj")), key).where("_i < _j")
+    return pairs.join(dots, [key, "_i", "_j"], "left").groupBy(key).agg(
+        F.max(F.col("_oi") + F.col("_oj") - 2 * F.coalesce("_dot", F.lit(0.0))).alias("_exact"))
+
+
 def largest_within(vectors: DataFrame, key: str, member: str, axis: str, value: str,
                    floor: float = 300.0) -> DataFrame:
     """Largest squared distance between two member rows of each type, at least ``floor``.
@@ -172,7 +185,8 @@ def largest_within(vectors: DataFrame, key: str, member: str, axis: str, value:
     distance r to the centre of the type is linear to compute, and so is the
     largest distance found from the outermost member, a lower bound B.  A pair
     further apart than B needs r_i + r_j > B, so only members with
-    r > B - max(r) are compared with each other.
+    r > B - max(r) are compared with each other.  Nor can it be further apart than its squares tell, so a
+    member whose square and the largest one stay below B is left out as well.
     """
     v = F.col(value).cast("double")
     rows = vectors.select(key, F.col(member).alias("_m"), F.col(axis).alias("_a"), v.alias("_v")).where("_v <> 0")
@@ -196,14 +210,20 @@ def largest_within(vectors: DataFrame, key: str, member: str, axis: str, value:
              .withColumn("_far", F.when(F.col("_m") == F.col("_q._m"), F.lit(0.0)).otherwise(
                  F.col("_own") + F.col("_q._own") - 2 * F.coalesce("_d", F.lit(0.0))))
              .groupBy(key).agg(F.max("_far").alias("_bound"), F.max("_rmax").alias("_rmax")))
-    rim = cut(radius.join(bound, key).where(
-        F.col("_r") >= F.sqrt(F.greatest("_bound", F.lit(0.0))) - F.col("_rmax") - 1e-9).select(key, "_m", "_own"))
-    edge_rows = rows.join(rim.select(key, "_m"), [key, "_m"], "left_semi")
-    i, j = (edge_rows.select(key, "_a", F.col("_m").alias(n), F.col("_v").alias(w)) for n, w in (("_i", "_x"), ("_j", "_y")))
-    dots = i.join(j, [key, "_a"]).where("_i < _j").groupBy(key, "_i", "_j").agg(F.sum(F.col("_x") * F.col("_y")).alias("_dot"))
-    pairs = rim.select(key, F.col("_m").alias("_i"), F.col("_own").alias("_oi")).join(
-        rim.select(key, F.col("_m").alias("_j"), F.col("_own").alias("_oj")), key).where("_i < _j")
-    exact = pairs.join(dots, [key, "_i", "_j"], "left").groupBy(key).agg(
-        F.max(F.col("_oi") + F.col("_oj") - 2 * F.coalesce("_dot", F.lit(0.0))).alias("_exact"))
+    # Members with the largest squares are far apart if they have little in common: a better lower bound.
+    salt = F.pmod(F.xxhash64("_m"), F.lit(OUTER))
+    longest = [F.desc("_own"), "_m"]
+    few = radius.withColumn("_s", salt).withColumn("_k", F.row_number().over(Window.partitionBy(key, "_s").orderBy(*longest))).where(F.col("_k") <= OUTER)
+    top = cut(few.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(*longest))).where(F.col("_k") <= OUTER).select(key, "_m", "_own"))
+    signs = rows.groupBy(key).agg(F.min("_v").alias("_least"))
+    better = bound.join(_farthest(top, rows, key), key, "left").join(top.groupBy(key).agg(F.max("_own").alias("_most")), key).join(signs, key).select(
+        key, F.greatest("_bound", F.coalesce("_exact", F.lit(0.0))).alias("_bound"), "_rmax", "_most", "_least")
+    # Without negative values two rows are at most the sum of their squares apart.
+    reach = F.when(F.col("_least") >= 0, F.col("_own") + F.col("_most")).otherwise(
+        F.col("_own") + F.col("_most") + 2 * F.sqrt(F.col("_own") * F.col("_most")))
+    rim = cut(radius.join(better, key).where(
+        (F.col("_r") >= F.sqrt(F.greatest("_bound", F.lit(0.0))) - F.col("_rmax") - 1e-9)
+        & (reach >= F.col("_bound") * (1 - 1e-12) - 1e-9)).select(key, "_m", "_own"))
+    exact = _farthest(rim, rows, key)
     return size.select(key).join(exact, key, "left").select(
         key, F.greatest(F.coalesce("_exact", F.lit(floor)), F.lit(floor)).alias("largest"))
