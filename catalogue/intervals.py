@@ -95,17 +95,24 @@ def _placed(spark, sf):
 @query(f"""WITH {_PLACED}, {_GENES} SELECT p.id, count(*) AS n_genes, min(gene) AS first_gene, max(gene) AS last_gene
 FROM placed p JOIN genes g ON p.contig = g.contig AND p.start < g.r_end AND g.r_start < p.stop GROUP BY p.id""")
 def range_join_genes(spark, sf):
-    met = I.range_join(_placed(spark, sf).select("id", "contig", "start", "end"), _genes(spark, sf), ["contig"], 32)
-    return met.groupBy("id").agg(F.count(F.lit(1)).alias("n_genes"), F.min("gene").alias("first_gene"),
-                                 F.max("gene").alias("last_gene"))
+    # Positions are days: rows of one range meet the same genes, so each different range is joined once.
+    placed = _placed(spark, sf).select("id", "contig", "start", "end")
+    genes = _genes(spark, sf).groupBy("contig", "r_start", "r_end").agg(
+        F.count(F.lit(1)).alias("n"), F.min("gene").alias("lo"), F.max("gene").alias("hi"))
+    met = I.range_join(placed.select("contig", "start", "end").distinct(), genes, ["contig"], 32).groupBy("contig", "start", "end").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return placed.join(met, ["contig", "start", "end"]).groupBy("id").agg(
+        F.sum("n").alias("n_genes"), F.min("lo").alias("first_gene"), F.max("hi").alias("last_gene"))
 
 
 @query(f"""WITH {_PLACED}, {_GENES} SELECT p.contig, p.l_returnflag, count(*) AS n
 FROM placed p JOIN genes g ON p.contig = g.contig AND p.start < g.r_end AND g.r_start <= p.stop
 GROUP BY p.contig, p.l_returnflag""")
 def range_join_touching(spark, sf):
-    met = I.range_join(_placed(spark, sf), _genes(spark, sf).drop("label"), ["contig"], 32, touch=True)
-    return met.groupBy("contig", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    placed = _placed(spark, sf).groupBy("contig", "start", "end", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    genes = _genes(spark, sf).groupBy("contig", "r_start", "r_end").agg(F.count(F.lit(1)).alias("many"))
+    met = I.range_join(placed, genes, ["contig"], 32, touch=True)
+    return met.groupBy("contig", "l_returnflag").agg(F.sum(F.col("n") * F.col("many")).alias("n"))
 
 
 _EXONS = "(SELECT * FROM genes WHERE label = '1-URGENT')"
